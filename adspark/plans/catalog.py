@@ -68,6 +68,7 @@ def build_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tables["region_spend"] = rollups.region_spend(enriched)
     tables["region_day_spend"] = rollups.region_day_spend(enriched)
     tables["engagement_history"] = rollups.engagement_history(enriched)
+    tables["users_clean"] = users
     tables["rejects"] = star.rejects
     return tables
 

@@ -121,7 +121,7 @@ def raw_ad_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Data
         F.col("n_name").alias("Location"),
         ts.alias("Timestamp"),
         F.when(clicked, _s(F.col("ts") + F.expr("INTERVAL 30 SECONDS"))).alias("ClickTimestamp"),
-        _s(F.round(F.col("value") * 1.5, 2)).alias("BidAmount"),
+        _s(F.col("value") * 2).alias("BidAmount"),
         cost.alias("AdCost"),
         F.when(clicked, _s(F.round(F.col("value") * 1.2, 2))).otherwise(F.lit("0.0")).alias("AdRevenue"),
         _s(F.col("budget")).alias("Budget"),
