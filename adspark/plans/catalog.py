@@ -51,26 +51,37 @@ def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame,
     return resolved.join(sized_broadcast(attrs), "campaign_id", "left")
 
 
-def build_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Every table of the load stage, as lazy DataFrames (dimensions are checkpointed)."""
+def build_all(spark: SparkSession, sf_dir: str) -> dict:
+    """Every table of the load stage, in dependency order.  Later stages are callables
+    over the tables already written, so each stage reads Parquet, not the lineage."""
     raw = raw_inputs(spark, sf_dir)
-    events, campaigns, users = (normalize_events(raw.ad_events), normalize_campaigns(raw.campaigns),
-                                normalize_users(raw.users))
-    star = build_star(events, campaigns, users)
-    enriched = enrich_events(events, campaigns, star.countries, star.advertisers)
-    tables = dict(star.tables())
-    tables["ad_events"] = enriched
-    tables["ad_sessions"] = documents.build_sessions(enriched)
-    tables["user_interaction"] = documents.build_user_documents(users)
-    tables["campaign_day"] = rollups.campaign_day(enriched)
-    tables["user_day"] = rollups.user_day(enriched)
-    tables["advertiser_day"] = rollups.advertiser_day(enriched)
-    tables["region_spend"] = rollups.region_spend(enriched)
-    tables["region_day_spend"] = rollups.region_day_spend(enriched)
-    tables["engagement_history"] = rollups.engagement_history(enriched)
-    tables["users_clean"] = users
-    tables["rejects"] = star.rejects
-    return tables
+    t: dict = {
+        # the reference's normalised dataset
+        "events_clean": normalize_events(raw.ad_events),
+        "campaigns_clean": normalize_campaigns(raw.campaigns),
+        "users_clean": normalize_users(raw.users),
+    }
+
+    def star(w):
+        if "_star" not in w:
+            w["_star"] = build_star(w["events_clean"], w["campaigns_clean"], w["users_clean"])
+        return w["_star"]
+
+    for name in ["countries", "interests", "advertisers", "users", "campaigns", "users_interests",
+                 "ad_impressions", "ad_clicks"]:
+        t[name] = (lambda n: lambda w: getattr(star(w), n))(name)
+    t["rejects"] = lambda w: star(w).rejects
+    t["ad_events"] = lambda w: enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"],
+                                             w["advertisers"])
+    t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
+    t["user_interaction"] = lambda w: documents.build_user_documents(w["users_clean"])
+    t["campaign_day"] = lambda w: rollups.campaign_day(w["ad_events"])
+    t["user_day"] = lambda w: rollups.user_day(w["ad_events"])
+    t["advertiser_day"] = lambda w: rollups.advertiser_day(w["ad_events"])
+    t["region_spend"] = lambda w: rollups.region_spend(w["ad_events"])
+    t["region_day_spend"] = lambda w: rollups.region_day_spend(w["ad_events"])
+    t["engagement_history"] = lambda w: rollups.engagement_history(w["ad_events"])
+    return t
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -3,6 +3,8 @@ staged multi-table publish and flattening of documents for text output."""
 
 from __future__ import annotations
 
+import logging
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,14 +68,21 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    layouts: dict[str, dict] | None = None) -> dict[str, str]:
     """All-or-nothing multi-table load.
 
-    Every table is written under a fresh version folder; the checks (violation frames)
+    Tables are written in order; a callable value is a later stage, called with the
+    tables written so far (read back from Parquet), so no stage recomputes the lineage
+    of an earlier one.  Every table goes under a fresh version folder; the checks
     must all be empty; only then is the manifest (table -> path, rows) written.  Readers
     go through the manifest, so a failed load leaves the published version untouched.
     """
     version = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     layouts = layouts or {}
     rows = []
+    written: dict[str, DataFrame] = {}
+    log = logging.getLogger("adspark.publish")
     for name, df in tables.items():
+        t0 = time.time()
+        if callable(df):  # a later stage, built from the tables already written
+            df = df(written)
         path = f"{version}/{name}"
         lay = layouts.get(name, {})
         out = df
@@ -83,7 +92,9 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
             out = out.sortWithinPartitions(*[F.desc(c[1:]) if c.startswith("-") else F.col(c)
                                              for c in lay["sort_by"]])
         write_table(out, path, partition_by=lay.get("partition_by"))
-        rows.append((name, path, spark.read.parquet(path).count()))
+        written[name] = spark.read.parquet(path)
+        rows.append((name, path, written[name].count()))
+        log.info("published %s: %d rows in %.1fs", name, rows[-1][2], time.time() - t0)
     failed = {k: v for k, v in (checks or {}).items() if not v.isEmpty()}
     if failed:
         raise ValueError(f"load rejected, violated checks: {sorted(failed)}")

@@ -27,7 +27,12 @@ bc AS (
   SELECT CAST(p_partkey + 1 AS INTEGER) AS campaign_id, 'Campaign_' || CAST(p_partkey + 1 AS VARCHAR) AS campaign_name,
          p_brand AS advertiser_name, CAST(p_retailprice AS DECIMAL(12,2)) AS budget,
          CAST(round(p_retailprice * (p_partkey % 10) / 10, 2) AS DECIMAL(12,2)) AS remaining_budget,
-         p_type AS interest, 'NATION_' || CAST(p_partkey % 25 AS VARCHAR) AS country, p_size
+         p_type AS interest, 'NATION_' || CAST(p_partkey % 25 AS VARCHAR) AS country, p_size,
+         CAST(DATE '2024-01-01' + CAST(p_partkey % 10 AS INTEGER) AS DATE) AS start_date,
+         CAST(DATE '2024-01-01' + CAST(p_partkey % 10 AS INTEGER) + CAST(p_size + 30 AS INTEGER) AS DATE) AS end_date,
+         'Age ' || CAST(p_size AS VARCHAR) || '-' || CAST(p_size + 10 AS VARCHAR) || ', ' || p_type || ', NATION_'
+           || CAST(p_partkey % 25 AS VARCHAR) AS targeting_criteria,
+         CASE p_size % 3 WHEN 0 THEN '300x250' WHEN 1 THEN '728x90' ELSE '160x600' END AS ad_slot_size
   FROM part),
 bu AS (
   SELECT CAST(c_custkey AS INTEGER) AS user_id, CAST(18 + c_custkey % 60 AS INTEGER) AS age,
@@ -65,7 +70,8 @@ advertisers AS (
     SELECT DISTINCT x AS name FROM (SELECT advertiser_name AS x FROM ev UNION ALL SELECT advertiser_name FROM bc)
     WHERE x IS NOT NULL)),
 campaigns AS (
-  SELECT bc.campaign_id, a.advertiser_id, bc.campaign_name, bc.budget, bc.remaining_budget,
+  SELECT bc.campaign_id, a.advertiser_id, bc.campaign_name, bc.start_date AS campaign_start_date,
+         bc.end_date AS campaign_end_date, bc.targeting_criteria, bc.ad_slot_size, bc.budget, bc.remaining_budget,
          CAST(bc.p_size AS INTEGER) AS targeting_age_from, CAST(bc.p_size + 10 AS INTEGER) AS targeting_age_to,
          coalesce(i.interest_id, 0) AS targeting_interest_id, coalesce(c.country_id, 0) AS targeting_country_id
   FROM bc JOIN advertisers a ON a.advertiser_name = bc.advertiser_name
@@ -242,3 +248,88 @@ ORACLE["top_categories"] = q(f"""SELECT * FROM (
   SELECT user_id, category, clicks, row_number() OVER (PARTITION BY user_id ORDER BY clicks DESC, category) AS rank
   FROM (SELECT user_id, coalesce(campaign_interest, 'Unknown') AS category, COUNT(*) AS clicks
         FROM {_DOC} WHERE coalesce(was_clicked, false) GROUP BY ALL)) WHERE rank <= 3""")
+
+# ---- A, C, D: scans, cleaning, modelling ------------------------------------------------
+_TYPED = """SELECT CAST(e.event_id AS VARCHAR) AS event_id, CAST(e.user_id AS INTEGER) AS user_id, e.ts,
+       CAST(CAST(e.value AS DECIMAL(8,4)) AS DOUBLE) AS ad_cost, e.event_type = 'click' AS was_clicked FROM events e"""
+ORACLE["csv_load_by_header"] = _TYPED
+ORACLE["first_n_events"] = q("SELECT event_id, ts, user_id FROM ev ORDER BY ts, event_id LIMIT 5000")
+_DIRTY = """, dirty AS (
+  SELECT event_id AS EventID, 'Campaign_' || CAST(k + 1 AS VARCHAR) AS CampaignName, CAST(user_id AS VARCHAR) AS UserID,
+         device AS Device FROM be
+  UNION ALL
+  SELECT event_id, 'Campaign_' || CAST(k + 1 AS VARCHAR), CAST(user_id AS VARCHAR), device FROM be WHERE eid % 50 = 0)
+"""
+ORACLE["exact_dedup"] = q(_DIRTY + "SELECT DISTINCT * FROM dirty")
+ORACLE["key_dedup_first"] = q(_DIRTY + "SELECT * FROM dirty QUALIFY row_number() OVER (PARTITION BY EventID) = 1")
+ORACLE["lenient_casts"] = q("""SELECT event_id, CASE WHEN eid % 89 = 0 THEN NULL ELSE ts END AS ts, click_ts,
+       CASE WHEN eid % 97 = 0 THEN NULL ELSE CAST(ad_cost AS DOUBLE) END AS ad_cost,
+       CASE WHEN eid % 97 = 0 THEN 0.0 ELSE CAST(ad_cost AS DOUBLE) END AS cost_or_zero,
+       was_clicked, CASE WHEN eid % 89 = 0 THEN NULL ELSE ts END AS ts_iso_or_epoch FROM be""")
+ORACLE["parse_targeting"] = q("""SELECT campaign_id, CAST(p_size AS INTEGER) AS age_from, CAST(p_size + 10 AS INTEGER) AS age_to,
+       interest, country FROM bc""")
+ORACLE["explode_interests"] = q("""SELECT user_id, trim(x) AS interest FROM (
+  SELECT user_id, unnest(string_split(interests, ',')) AS x FROM bu) WHERE trim(x) <> ''""")
+ORACLE["interest_array_keep_blanks"] = q("""SELECT user_id,
+       CASE WHEN interests IS NULL OR trim(interests) = '' THEN ''
+            ELSE array_to_string(list_transform(string_split(interests, ','), lambda x: trim(x)), '|') END AS interests,
+       CASE WHEN interests IS NULL OR trim(interests) = '' THEN 0 ELSE len(string_split(interests, ',')) END AS n_interests
+FROM bu""")
+_GENDERS = "('Male', 'Female', 'Non-Binary', 'Other', 'Prefer not to say')"
+ORACLE["coerce_gender"] = q(f"""SELECT user_id, raw_gender,
+       CASE WHEN raw_gender IN {_GENDERS} THEN raw_gender ELSE 'Other' END AS gender FROM bu""")
+ORACLE["default_lookup"] = q("SELECT impression_id, location_id FROM ad_impressions")
+ORACLE["rejects_unmatched"] = q("""SELECT 'x' AS "table", 'x' AS key, 'x' AS reason FROM ev WHERE campaign_id IS NULL""")
+ORACLE["dim_advertisers"] = q("SELECT * FROM advertisers")
+ORACLE["dim_countries"] = q("SELECT * FROM countries")
+ORACLE["dim_interests"] = q("SELECT * FROM interests")
+ORACLE["dim_campaigns"] = q("""SELECT campaign_id, advertiser_id, campaign_name, campaign_start_date, campaign_end_date,
+       targeting_criteria, targeting_age_from, targeting_age_to, targeting_interest_id, targeting_country_id, ad_slot_size,
+       CAST(budget AS DOUBLE) AS budget, CAST(remaining_budget AS DOUBLE) AS remaining_budget FROM campaigns""")
+ORACLE["dim_users"] = q("SELECT * FROM users")
+ORACLE["bridge_users_interests"] = q("""SELECT DISTINCT x.user_id, i.interest_id FROM (
+  SELECT user_id, trim(unnest(string_split(interests, ','))) AS name FROM bu) x JOIN interests i ON i.interest_name = x.name""")
+ORACLE["fact_impressions"] = q("""SELECT impression_id, campaign_id, user_id, device, location_id, impression_timestamp,
+       CAST(bid_amount AS DOUBLE) AS bid_amount, CAST(ad_cost AS DOUBLE) AS ad_cost, CAST(ad_revenue AS DOUBLE) AS ad_revenue
+FROM ad_impressions""")
+ORACLE["fact_clicks"] = q("SELECT * FROM ad_clicks")
+
+# ---- E: checks ------------------------------------------------------------------------
+ORACLE["check_not_null"] = q("""SELECT event_id, 'not_null:ts' AS rule FROM be WHERE eid % 89 = 0
+UNION ALL SELECT event_id, 'not_null:ad_cost' FROM be WHERE eid % 97 = 0""")
+ORACLE["check_unique"] = """SELECT l_orderkey, l_linenumber, COUNT(*) AS copies, 'unique:l_orderkey,l_linenumber' AS rule
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
+ORACLE["check_range"] = q("""SELECT user_id AS id, CAST(age AS VARCHAR) AS value, 'range:age' AS rule FROM users
+WHERE age < 1 OR age > 120
+UNION ALL SELECT campaign_id, CAST(targeting_age_from AS VARCHAR), 'range:targeting_age_from' FROM campaigns
+WHERE targeting_age_from < 1""")
+ORACLE["check_enum"] = q(f"""SELECT CAST(user_id AS VARCHAR) AS id, raw_gender AS value, 'enum:gender' AS rule FROM bu
+WHERE raw_gender NOT IN {_GENDERS}
+UNION ALL SELECT impression_id, device, 'enum:device' FROM ad_impressions
+WHERE device NOT IN ('Mobile', 'Desktop', 'Tablet', 'Other')""")
+ORACLE["check_fk"] = q("""SELECT CAST(user_id AS VARCHAR) AS id, CAST(country_id AS VARCHAR) AS value, 'fk:country_id' AS rule
+FROM users WHERE country_id NOT IN (SELECT country_id FROM countries)""")
+ORACLE["cascade_delete"] = q("""SELECT 'campaigns' AS "table", COUNT(*) AS rows FROM campaigns WHERE advertiser_id <> 1
+UNION ALL SELECT 'ad_impressions', COUNT(*) FROM ad_impressions
+  WHERE campaign_id NOT IN (SELECT campaign_id FROM campaigns WHERE advertiser_id = 1)
+UNION ALL SELECT 'ad_clicks', COUNT(*) FROM ad_clicks WHERE impression_id NOT IN (
+  SELECT impression_id FROM ad_impressions WHERE campaign_id IN (SELECT campaign_id FROM campaigns WHERE advertiser_id = 1))""")
+ORACLE["set_null_delete"] = q("""SELECT user_id, CASE WHEN country_id IN (
+  SELECT country_id FROM countries WHERE country_name = 'NATION_0') THEN NULL ELSE country_id END AS country_id FROM users""")
+ORACLE["check_fit"] = """SELECT CAST(event_id AS VARCHAR) AS EventID, 'bad' AS value, 'type:Timestamp' AS rule
+FROM events WHERE event_id % 89 = 0"""
+ORACLE["check_array_elements"] = q("""SELECT user_id, device, 0 AS bucket, 'elements:impressions' AS rule
+FROM ev WHERE false""")
+
+# ---- B, K: keyed writes, layout, publish, streaming ---------------------------------------
+ORACLE["upsert_latest"] = q(_I6)
+ORACLE["counter_merge"] = q(_I1)
+ORACLE["clustered_write"] = q(f"""SELECT region, advertiser_id, advertiser_name, CAST(total_spend AS DOUBLE) AS total_spend, day
+FROM ({_I5}) WHERE day BETWEEN DATE '2024-01-11' AND DATE '2024-01-20'""")
+ORACLE["staged_publish"] = q(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {t}" for t in
+    ["countries", "interests", "users", "advertisers", "campaigns", "ad_impressions", "ad_clicks"])
+    + """ UNION ALL SELECT 'users_interests', COUNT(*) FROM (SELECT DISTINCT x.user_id, i.interest_id FROM (
+  SELECT user_id, trim(unnest(string_split(interests, ','))) AS name FROM bu) x
+  JOIN interests i ON i.interest_name = x.name)""")
+ORACLE["stream_campaign_day"] = q(_I1)
