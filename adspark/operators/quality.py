@@ -29,7 +29,7 @@ def check_not_null(df: DataFrame, columns: list[str], key: list[str]) -> DataFra
 def check_unique(df: DataFrame, key: list[str], collation: str | None = None) -> DataFrame:
     """Keys that occur more than once, with their count.  ``collation`` (e.g.
     ``'UNICODE_CI'``) compares string keys the way a case-insensitive index does."""
-    cols = [F.col(k).collate(collation).alias(k) if collation else F.col(k) for k in key]
+    cols = [F.collate(F.col(k), collation).alias(k) if collation else F.col(k) for k in key]
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1) \
         .withColumn("rule", F.lit("unique:" + ",".join(key)))
 
