@@ -38,9 +38,21 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_NA_SQL_SET = ", ".join(_sql_str(t) for t in NA_TOKENS)
+
+
 def na_to_null(c) -> Column:
-    """T5: the NA text tokens become NULL (applied once, at scan time)."""
-    c = _c(c)
+    """T5: the NA text tokens become NULL (applied once, at scan time).
+
+    For a column name the rule is one SQL expression (one call to the JVM instead of a
+    literal per token)."""
+    if isinstance(c, str):
+        q = "`" + c.replace("`", "``") + "`"
+        return F.expr(f"CASE WHEN {q} IN ({_NA_SQL_SET}) THEN CAST(NULL AS STRING) ELSE {q} END")
     return F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
 
 

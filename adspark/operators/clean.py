@@ -38,9 +38,10 @@ def key_dedup_first(df: DataFrame, key: str = "EventID", order: list | None = No
     return keep_one(df, [key], order)
 
 
-def normalize_events(raw: DataFrame, dedup: bool = True) -> DataFrame:
+def normalize_events(raw: DataFrame, dedup: bool = True, extra: dict | None = None) -> DataFrame:
     """Clean ``ad_events``: drop copies (C1 + C2 in one aggregate), type every column
-    leniently (C3-C5), trim names (T20)."""
+    leniently (C3-C5), trim names (T20).  ``extra`` adds named columns computed from the
+    de-duplicated raw text in the same pass."""
     df = null_tokens(raw)
     if dedup:
         # keep-first per EventID also removes every exact copy, so C1 needs no pass of its own
@@ -64,6 +65,7 @@ def normalize_events(raw: DataFrame, dedup: bool = True) -> DataFrame:
         lenient_decimal("Budget", *BUDGET).alias("budget"),
         lenient_decimal("RemainingBudget", *BUDGET).alias("remaining_budget"),
         to_bool("WasClicked").alias("was_clicked"),
+        *[c.alias(n) for n, c in (extra or {}).items()],
     )
 
 

@@ -9,17 +9,33 @@ from pyspark.sql import functions as F
 
 from adspark.session import materialize
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_BYTES = 8 << 20  # below Spark's own 10 MB auto-broadcast bound
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` has at most ``max_rows`` rows.
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (no job).  For file scans it is the
+    file size carried through filters, projections and aggregates, an upper bound of
+    the rows kept; ``None`` where the estimate cannot be read."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a Spark Connect session
+        return None
 
-    Above the bound the plain DataFrame is returned, and the join falls back to a
-    shuffle join (AQE may still demote it at run time).  The count is one cheap job on
-    a Parquet scan or a checkpointed table.
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only when ``df`` is proven small.
+
+    First the optimizer's size estimate (no job): at most ``max_bytes`` -> broadcast.
+    Otherwise an exact row count decides against ``max_rows``.  Above both bounds the
+    plain DataFrame is returned and the join stays a shuffle join (AQE may still turn
+    it into a broadcast at run time from real shuffle sizes).
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     if df.count() <= max_rows:
         return F.broadcast(df)
     return df

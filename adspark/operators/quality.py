@@ -20,10 +20,19 @@ def _tag(df: DataFrame, rule: str) -> DataFrame:
     return df.withColumn("rule", F.lit(rule))
 
 
+def _hits(df: DataFrame, key: list[str], rules: list[tuple[F.Column, F.Column, str]], with_value: bool) -> DataFrame:
+    """One pass over ``df``: each (condition, value, rule) that holds gives one output
+    row, via an array of hits and ``explode`` (no union that re-reads the input)."""
+    hits = F.array(*[F.when(cond, F.struct(val.cast("string").alias("value"), F.lit(rule).alias("rule")))
+                     for cond, val, rule in rules])
+    out = df.select(*key, F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_h"))
+    cols = [*key, F.col("_h.value").alias("value")] if with_value else list(key)
+    return out.select(*cols, F.col("_h.rule").alias("rule"))
+
+
 def check_not_null(df: DataFrame, columns: list[str], key: list[str]) -> DataFrame:
     """Rows with a NULL in any required column (one row per column broken)."""
-    parts = [df.where(F.col(c).isNull()).select(*key, F.lit(f"not_null:{c}").alias("rule")) for c in columns]
-    return reduce(DataFrame.unionByName, parts)
+    return _hits(df, key, [(F.col(c).isNull(), F.lit(None), f"not_null:{c}") for c in columns], with_value=False)
 
 
 def check_unique(df: DataFrame, key: list[str], collation: str | None = None) -> DataFrame:
@@ -67,12 +76,9 @@ def check_fit(raw: DataFrame, typed: DataFrame, key: str, max_lengths: dict[str,
     VARCHAR(n)."""
     fields = [c for c in typed.columns if c != key and c in raw.columns]
     j = raw.select(key, *[F.col(c).alias("raw_" + c) for c in fields]).join(typed, key)
-    parts = [j.where(F.col("raw_" + c).isNotNull() & F.col(c).isNull())
-             .select(key, F.col("raw_" + c).alias("value"), F.lit(f"type:{c}").alias("rule")) for c in fields]
-    for c, n in (max_lengths or {}).items():
-        parts.append(typed.where(F.length(c) > n).select(key, F.col(c).alias("value"),
-                                                         F.lit(f"length:{c}").alias("rule")))
-    return reduce(DataFrame.unionByName, parts)
+    rules = [(F.col("raw_" + c).isNotNull() & F.col(c).isNull(), F.col("raw_" + c), f"type:{c}") for c in fields]
+    rules += [(F.length(c) > n, F.col(c), f"length:{c}") for c, n in (max_lengths or {}).items()]
+    return _hits(j, [key], rules, with_value=True)
 
 
 def check_array_elements(docs: DataFrame, array_col: str, required: list[str], key: list[str]) -> DataFrame:

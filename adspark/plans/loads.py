@@ -64,13 +64,10 @@ def key_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3-C6, C15, C16 on the dirty events."""
-    raw = _dirty(spark, sf_dir)
-    typed = normalize_events(raw)
-    epoch = key_dedup_first(raw).select(F.col("EventID").alias("event_id"),
-                                        iso_or_epoch("Timestamp").alias("ts_iso_or_epoch"))
+    typed = normalize_events(_dirty(spark, sf_dir), extra={"ts_iso_or_epoch": iso_or_epoch("Timestamp")})
     return typed.select("event_id", "ts", "click_ts", F.col("ad_cost").cast("double").alias("ad_cost"),
                         zero_default(F.col("ad_cost").cast("double"), 0.0).alias("cost_or_zero"),
-                        "was_clicked").join(epoch, "event_id")
+                        "was_clicked", "ts_iso_or_epoch")
 
 
 def parse_targeting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """SQL report questions (F1-F7) and entity metrics (G1-G3) over the star.
 
-Shape of every plan: filter the fact (pushed to the Parquet scan), join impressions to
-clicks on ``impression_id`` (one shuffle, uniform key), aggregate per small key with
+Shape of every plan: filter the fact (pushed to the Parquet scan), read impressions
+with their click (joined once at load time), aggregate per small key with
 partial aggregation, and only then join dimension names with a size-checked
 broadcast.  Ties in top-k are broken by id ascending (T13).  Money is summed exactly
 as DECIMAL and rounded half away from zero; ratios are rounded through integers.
@@ -20,17 +20,29 @@ def _ts(x: str) -> F.Column:
     return F.lit(x).cast("timestamp_ntz")
 
 
-def window_impressions(star: dict, start: str | None, end: str | None, cols: list[str]) -> DataFrame:
+def window_impressions(star: dict, start: str | None, end: str | None, cols: list[str],
+                       with_clicks: bool = False) -> DataFrame:
     """Impressions with ``impression_timestamp BETWEEN start AND end`` (closed; a date
-    literal means midnight, so the last day stops at 00:00, T14)."""
-    imps = star["ad_impressions"]
+    literal means midnight, so the last day stops at 00:00, T14).
+
+    ``with_clicks`` gives ``impressions LEFT JOIN clicks ON impression_id`` (adds
+    ``click_id``, ``click_timestamp``).  The warehouse publishes that join once at load
+    time (``impression_clicks``), so a report scans one table; on a bare star the join
+    is planned here."""
+    if with_clicks and "impression_clicks" in star:
+        imps = star["impression_clicks"]
+    else:
+        imps = star["ad_impressions"]
+        if with_clicks:
+            imps = join_clicks(imps, star["ad_clicks"])
     if start is not None:
         imps = imps.where(F.col("impression_timestamp").between(_ts(start), _ts(end)))
     return imps.select(*cols)
 
 
-def _with_clicks(imps: DataFrame, star: dict, how: str = "left") -> DataFrame:
-    return imps.join(star["ad_clicks"].select("impression_id", "click_id"), "impression_id", how)
+def join_clicks(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
+    """impressions LEFT JOIN clicks on impression_id (one shuffle on a uniform key)."""
+    return impressions.join(clicks.select("impression_id", "click_id", "click_timestamp"), "impression_id", "left")
 
 
 def _campaign_names(star: dict) -> DataFrame:
@@ -39,7 +51,7 @@ def _campaign_names(star: dict) -> DataFrame:
 
 def top_campaigns_ctr(star: dict, start: str, end: str, k: int = 5) -> DataFrame:
     """top campaigns by CTR = clicks * 100 / distinct impressions, in a window."""
-    j = _with_clicks(window_impressions(star, start, end, ["impression_id", "campaign_id"]), star)
+    j = window_impressions(star, start, end, ["impression_id", "campaign_id", "click_id"], with_clicks=True)
     per = j.groupBy("campaign_id").agg(F.countDistinct("impression_id").alias("impressions"),
                                        F.count("click_id").alias("clicks"))
     out = per.join(_campaign_names(star), "campaign_id").select(
@@ -62,7 +74,8 @@ def advertiser_spend(star: dict, start: str, end: str) -> DataFrame:
 
 def campaign_cpc_cpm(star: dict, start: str, end: str) -> DataFrame:
     """CPC = cost / clicks (NULL without clicks), CPM = cost / impressions * 1000."""
-    j = _with_clicks(window_impressions(star, start, end, ["impression_id", "campaign_id", "ad_cost"]), star)
+    j = window_impressions(star, start, end, ["impression_id", "campaign_id", "ad_cost", "click_id"],
+                           with_clicks=True)
     per = j.groupBy("campaign_id").agg(money_sum("ad_cost").alias("cost"),
                                        F.count("click_id").alias("k"), F.count("impression_id").alias("n"))
     units = money_units("cost")  # cost in 1/10000
@@ -75,8 +88,8 @@ def campaign_cpc_cpm(star: dict, start: str, end: str) -> DataFrame:
 def top_locations_revenue(star: dict, start: str, end: str, k: int = 10) -> DataFrame:
     """revenue of clicked impressions per user location, top k (T6: the location
     name comes from the country dimension)."""
-    j = window_impressions(star, start, end, ["impression_id", "location_id", "ad_revenue"]) \
-        .join(star["ad_clicks"].select("impression_id"), "impression_id")
+    j = window_impressions(star, start, end, ["location_id", "ad_revenue", "click_id"], with_clicks=True) \
+        .where(F.col("click_id").isNotNull())  # inner join with clicks
     per = j.groupBy("location_id").agg(money_sum("ad_revenue").alias("rev"))
     names = sized_broadcast(star["countries"].select(F.col("country_id").alias("location_id"),
                                                      F.col("country_name").alias("user_location")))
@@ -86,9 +99,8 @@ def top_locations_revenue(star: dict, start: str, end: str, k: int = 10) -> Data
 
 def top_users_clicks(star: dict, start: str, end: str, k: int = 10) -> DataFrame:
     """users by clicks, window on the click time."""
-    clicks = star["ad_clicks"].where(F.col("click_timestamp").between(_ts(start), _ts(end))) \
-        .select("impression_id", "click_id")
-    j = star["ad_impressions"].select("impression_id", "user_id").join(clicks, "impression_id")
+    j = window_impressions(star, None, None, ["user_id", "click_id", "click_timestamp"], with_clicks=True) \
+        .where(F.col("click_timestamp").between(_ts(start), _ts(end)))  # inner join: a click exists
     per = j.groupBy("user_id").agg(F.count("click_id").alias("total_clicks"))
     per = per.join(star["users"].select("user_id"), "user_id", "left_semi")
     return per.select("user_id", "total_clicks").orderBy(F.desc("total_clicks"), "user_id").limit(k)
@@ -112,7 +124,7 @@ def budget_spent(star: dict, threshold_pct: int = 80) -> DataFrame:
 
 def device_ctr(star: dict, start: str, end: str) -> DataFrame:
     """CTR per device."""
-    j = _with_clicks(window_impressions(star, start, end, ["impression_id", "device"]), star)
+    j = window_impressions(star, start, end, ["impression_id", "device", "click_id"], with_clicks=True)
     per = j.groupBy("device").agg(F.countDistinct("impression_id").alias("impressions"),
                                   F.count("click_id").alias("clicks"))
     return per.select("device", "impressions", "clicks",
@@ -123,10 +135,10 @@ def device_ctr(star: dict, start: str, end: str) -> DataFrame:
 def campaign_performance(star: dict, campaign_id: int | None = None) -> DataFrame:
     """G1: distinct impressions, distinct clicks, CTR x100 (0 when no impression, rounded
     to 4 places, T16) and spend, for one campaign or all."""
-    imps = star["ad_impressions"].select("impression_id", "campaign_id", "ad_cost")
+    j = window_impressions(star, None, None, ["impression_id", "campaign_id", "ad_cost", "click_id"],
+                           with_clicks=True)
     if campaign_id is not None:
-        imps = imps.where(F.col("campaign_id") == F.lit(campaign_id))
-    j = _with_clicks(imps, star)
+        j = j.where(F.col("campaign_id") == F.lit(campaign_id))
     per = j.groupBy("campaign_id").agg(F.countDistinct("impression_id").alias("impressions"),
                                        F.countDistinct("click_id").alias("clicks"),
                                        money_sum("ad_cost").alias("spend"))
@@ -149,11 +161,12 @@ def advertiser_total_spend(star: dict, advertiser_id: int | None = None) -> Data
 def user_engagements(star: dict, user_id: int | None = None) -> DataFrame:
     """Clicked impressions with advertiser, newest click first (an unknown user gives
     an empty frame)."""
-    imps = star["ad_impressions"].select("impression_id", "campaign_id", "user_id", "impression_timestamp")
+    j = window_impressions(star, None, None, ["impression_id", "campaign_id", "user_id", "impression_timestamp",
+                                              "click_id", "click_timestamp"], with_clicks=True) \
+        .where(F.col("click_id").isNotNull())
     if user_id is not None:
-        imps = imps.where(F.col("user_id") == F.lit(user_id))
-    j = imps.join(star["ad_clicks"], "impression_id") \
-        .join(sized_broadcast(star["campaigns"].select("campaign_id", "advertiser_id")), "campaign_id")
+        j = j.where(F.col("user_id") == F.lit(user_id))
+    j = j.join(sized_broadcast(star["campaigns"].select("campaign_id", "advertiser_id")), "campaign_id")
     return j.select("user_id", "advertiser_id", "campaign_id", "impression_id", "click_id",
                     F.col("impression_timestamp").alias("impression_time"),
                     F.col("click_timestamp").alias("click_time")) \

@@ -32,8 +32,16 @@ class RawInputs:
     users: DataFrame
 
 
+_SCANS: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table; the (immutable) input's scan is reused within a
+    session so its footers are read once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _SCANS[key]
 
 
 def _s(c) -> F.Column:
@@ -41,22 +49,20 @@ def _s(c) -> F.Column:
 
 
 def _campaign_attrs(part: DataFrame) -> DataFrame:
-    pk = F.col("p_partkey")
-    start = F.date_add(F.lit("2024-01-01").cast("date"), (pk % 10).cast("int"))
-    return part.select(
-        (pk + 1).alias("campaign_id"),
-        F.concat(F.lit("Campaign_"), _s(pk + 1)).alias("campaign_name"),
-        F.col("p_brand").alias("advertiser_name"),
-        start.alias("start_date"),
-        F.date_add(start, F.col("p_size") + 30).alias("end_date"),
-        F.concat(F.lit("Age "), _s(F.col("p_size")), F.lit("-"), _s(F.col("p_size") + 10),
-                 F.lit(", "), F.col("p_type"), F.lit(", NATION_"), _s(pk % 25)).alias("targeting"),
-        F.col("p_type").alias("interest"),
-        F.concat(F.lit("NATION_"), _s(pk % 25)).alias("country"),
-        F.when(F.col("p_size") % 3 == 0, "300x250").when(F.col("p_size") % 3 == 1, "728x90")
-         .otherwise("160x600").alias("slot"),
-        F.col("p_retailprice").alias("budget"),
-        F.round(F.col("p_retailprice") * (pk % 10) / 10, 2).alias("remaining"),
+    # SQL text: one call per column into the JVM (column objects cost a call per literal)
+    return part.selectExpr(
+        "p_partkey + 1 AS campaign_id",
+        "concat('Campaign_', CAST(p_partkey + 1 AS STRING)) AS campaign_name",
+        "p_brand AS advertiser_name",
+        "date_add(DATE'2024-01-01', CAST(p_partkey % 10 AS INT)) AS start_date",
+        "date_add(date_add(DATE'2024-01-01', CAST(p_partkey % 10 AS INT)), p_size + 30) AS end_date",
+        "concat('Age ', CAST(p_size AS STRING), '-', CAST(p_size + 10 AS STRING), ', ', p_type, ', NATION_', "
+        "CAST(p_partkey % 25 AS STRING)) AS targeting",
+        "p_type AS interest",
+        "concat('NATION_', CAST(p_partkey % 25 AS STRING)) AS country",
+        "CASE p_size % 3 WHEN 0 THEN '300x250' WHEN 1 THEN '728x90' ELSE '160x600' END AS slot",
+        "p_retailprice AS budget",
+        "round(p_retailprice * (p_partkey % 10) / 10, 2) AS remaining",
     )
 
 
@@ -99,34 +105,32 @@ def raw_ad_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Data
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     users = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left") \
         .select(F.col("c_custkey"), F.col("n_name"))
-    clicked = F.col("event_type") == "click"
-    eid = F.col("event_id")
     df = (ev.join(sized_broadcast(camp, 1_000_000), "k", "left")
             .join(users, ev.user_id == users.c_custkey, "left"))
-    cost = _s(F.col("value"))
-    ts = _s(F.col("ts"))
+    cost = "CAST(value AS STRING)"
+    ts = "CAST(ts AS STRING)"
     if dirty:
-        cost = F.when(eid % 97 == 0, F.lit("")).otherwise(cost)
-        ts = F.when(eid % 89 == 0, F.lit("bad")).otherwise(ts)
-    out = df.select(
-        _s(eid).alias("EventID"),
-        F.col("advertiser_name").alias("AdvertiserName"),
-        F.col("campaign_name").alias("CampaignName"),
-        _s(F.col("start_date")).alias("CampaignStartDate"),
-        _s(F.col("end_date")).alias("CampaignEndDate"),
-        F.col("interest").alias("CampaignTargetingInterest"),
-        F.col("country").alias("CampaignTargetingCountry"),
-        _s(F.col("user_id")).alias("UserID"),
-        F.when(eid % 3 == 0, "Mobile").when(eid % 3 == 1, "Desktop").otherwise("Tablet").alias("Device"),
-        F.col("n_name").alias("Location"),
-        ts.alias("Timestamp"),
-        F.when(clicked, _s(F.col("ts") + F.expr("INTERVAL 30 SECONDS"))).alias("ClickTimestamp"),
-        _s(F.col("value") * 2).alias("BidAmount"),
-        cost.alias("AdCost"),
-        F.when(clicked, _s(F.round(F.col("value") * 1.2, 2))).otherwise(F.lit("0.0")).alias("AdRevenue"),
-        _s(F.col("budget")).alias("Budget"),
-        _s(F.col("remaining")).alias("RemainingBudget"),
-        F.when(clicked, F.lit("True")).otherwise(F.lit("False")).alias("WasClicked"),
+        cost = f"CASE WHEN event_id % 97 = 0 THEN '' ELSE {cost} END"
+        ts = f"CASE WHEN event_id % 89 = 0 THEN 'bad' ELSE {ts} END"
+    out = df.selectExpr(
+        "CAST(event_id AS STRING) AS EventID",
+        "advertiser_name AS AdvertiserName",
+        "campaign_name AS CampaignName",
+        "CAST(start_date AS STRING) AS CampaignStartDate",
+        "CAST(end_date AS STRING) AS CampaignEndDate",
+        "interest AS CampaignTargetingInterest",
+        "country AS CampaignTargetingCountry",
+        "CAST(user_id AS STRING) AS UserID",
+        "CASE event_id % 3 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Desktop' ELSE 'Tablet' END AS Device",
+        "n_name AS Location",
+        f"{ts} AS Timestamp",
+        "CASE WHEN event_type = 'click' THEN CAST(ts + INTERVAL 30 SECONDS AS STRING) END AS ClickTimestamp",
+        "CAST(value * 2 AS STRING) AS BidAmount",
+        f"{cost} AS AdCost",
+        "CASE WHEN event_type = 'click' THEN CAST(round(value * 1.2, 2) AS STRING) ELSE '0.0' END AS AdRevenue",
+        "CAST(budget AS STRING) AS Budget",
+        "CAST(remaining AS STRING) AS RemainingBudget",
+        "CASE WHEN event_type = 'click' THEN 'True' ELSE 'False' END AS WasClicked",
     )
     if dirty:
         out = out.unionByName(out.filter(F.col("EventID").cast("bigint") % 50 == 0))

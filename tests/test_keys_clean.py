@@ -25,8 +25,10 @@ def test_keep_one_first_and_last(spark):
 def test_sized_broadcast_bound(spark):
     small = spark.range(10)
     assert "broadcast" in small.hint("broadcast")._jdf.queryExecution().logical().toString().lower()
-    plan_small = sized_broadcast(small, 100)._jdf.queryExecution().logical().toString().lower()
-    plan_big = sized_broadcast(small, 5)._jdf.queryExecution().logical().toString().lower()
+    plan_small = sized_broadcast(small, 100, max_bytes=0)._jdf.queryExecution().logical().toString().lower()
+    plan_big = sized_broadcast(small, 5, max_bytes=0)._jdf.queryExecution().logical().toString().lower()
+    plan_est = sized_broadcast(small, 5)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" in plan_est  # the optimizer's estimate alone proves it small
     assert "broadcast" in plan_small and "broadcast" not in plan_big
 
 
