@@ -70,15 +70,13 @@ def check_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str, key: list[st
         .select(*key, F.col(fk).cast("string").alias("value"), F.lit(f"fk:{fk}").alias("rule"))
 
 
-def check_fit(raw: DataFrame, typed: DataFrame, key: str, max_lengths: dict[str, int] | None = None) -> DataFrame:
-    """Text that does not fit its target type: present in ``raw`` but NULL after
-    the lenient cast in ``typed`` (same rows, matched by ``key``), or longer than its
-    VARCHAR(n)."""
-    fields = [c for c in typed.columns if c != key and c in raw.columns]
-    j = raw.select(key, *[F.col(c).alias("raw_" + c) for c in fields]).join(typed, key)
-    rules = [(F.col("raw_" + c).isNotNull() & F.col(c).isNull(), F.col("raw_" + c), f"type:{c}") for c in fields]
+def check_fit(raw: DataFrame, key: str, types: dict, max_lengths: dict[str, int] | None = None) -> DataFrame:
+    """Text that does not fit its target type (present, but NULL after the lenient
+    cast to ``types[column]``) or is longer than its VARCHAR(n).  One pass over the raw
+    rows: the casts are evaluated in place, no join back to a typed copy."""
+    rules = [(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.col(c), f"type:{c}") for c, t in types.items()]
     rules += [(F.length(c) > n, F.col(c), f"length:{c}") for c, n in (max_lengths or {}).items()]
-    return _hits(j, [key], rules, with_value=True)
+    return _hits(raw, [key], rules, with_value=True)
 
 
 def check_array_elements(docs: DataFrame, array_col: str, required: list[str], key: list[str]) -> DataFrame:

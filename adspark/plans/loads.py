@@ -241,11 +241,8 @@ def set_null_delete(spark, sf_dir, country: str = "NATION_0"):
 def check_fit(spark, sf_dir):
     """Raw event text that does not fit its typed column; names over VARCHAR(100)."""
     raw = null_tokens(exact_dedup(_dirty(spark, sf_dir)))  # blanks are missing values, not bad text
-    typed = normalize_events(raw).select(
-        F.col("event_id").alias("EventID"), F.col("ts").alias("Timestamp"), F.col("ad_cost").alias("AdCost"),
-        F.col("bid_amount").alias("BidAmount"), F.col("user_id").alias("UserID"),
-        F.col("campaign_name").alias("CampaignName"))
-    return quality.check_fit(raw, typed, "EventID", {"CampaignName": 100})
+    types = {"Timestamp": "timestamp_ntz", "AdCost": "decimal(8,4)", "BidAmount": "decimal(8,4)", "UserID": "int"}
+    return quality.check_fit(raw, "EventID", types, {"CampaignName": 100})
 
 
 def check_array_elements(spark, sf_dir):
