@@ -96,3 +96,12 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         publish_tables(spark, build_all(spark, sf_dir), root, layouts=LAYOUTS)
         _WAREHOUSES[key] = read_published(spark, root)
     return _WAREHOUSES[key]
+
+
+def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The star without publishing: dimensions are checkpointed, facts stay lazy plans
+    over the raw scan.  For one-off questions where a full load is not worth it."""
+    raw = raw_inputs(spark, sf_dir)
+    star = build_star(normalize_events(raw.ad_events), normalize_campaigns(raw.campaigns),
+                      normalize_users(raw.users))
+    return star.tables()

@@ -22,7 +22,7 @@ from adspark.plans.catalog import warehouse
 from adspark.session import scratch_path
 from adspark.sources import bridge
 from adspark.sources.csv import RAW_EVENT_COLUMNS, first_n, read_raw
-from adspark.sources.sinks import manifest_counts, publish_tables, write_clustered, write_report
+from adspark.sources.sinks import manifest_counts, publish_tables, upsert_partitions, write_clustered, write_report
 
 
 def _fresh(spark: SparkSession, what: str) -> str:
@@ -254,11 +254,17 @@ def check_array_elements(spark, sf_dir):
 
 # ---- B: keyed writes, layout, publish, report -------------------------------------
 def upsert_latest(spark, sf_dir):
-    """Engagement log loaded in two overlapping batches; last write wins per key."""
+    """The engagement log written as a day-partitioned table from a first batch,
+    then a second, overlapping batch upserted into it (last write wins per
+    (user_id, timestamp); only touched days are rewritten); the table is read back."""
     ev = warehouse(spark, sf_dir)["ad_events"]
+    day = F.to_date("timestamp").alias("day")
     first = rollups.engagement_history(ev.where(F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")))
     second = rollups.engagement_history(ev.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")))
-    return merge.upsert_latest(first, second, ["user_id", "timestamp"])
+    path = _fresh(spark, "upsert")
+    upsert_partitions(spark, path, first.select("*", day), ["user_id", "timestamp"], "day")
+    upsert_partitions(spark, path, second.select("*", day), ["user_id", "timestamp"], "day")
+    return spark.read.parquet(path).drop("day")
 
 
 def counter_merge(spark, sf_dir):

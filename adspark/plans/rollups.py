@@ -65,11 +65,10 @@ def last_ads_seen(history: DataFrame, user_id: int | None = None, scan: int = 50
     df = history if user_id is None else history.where(F.col("user_id") == F.lit(user_id))
     recent = df.withColumn("_r", F.row_number().over(
         Window.partitionBy("user_id").orderBy(F.desc("timestamp")))).where(F.col("_r") <= scan)
-    clicked = recent.where(F.col("action") == "click").select("user_id", "campaign_id").distinct() \
-        .withColumn("_hit", F.lit(True))
-    imps = recent.where(F.col("action") == "impression")
+    # same user partitioning serves the (user, campaign) window: one shuffle, no join back
+    hit = F.max((F.col("action") == "click").cast("int")).over(Window.partitionBy("user_id", "campaign_id"))
+    imps = recent.withColumn("_hit", hit).where(F.col("action") == "impression")
     imps = imps.withColumn("rank", F.row_number().over(Window.partitionBy("user_id").orderBy("_r"))) \
         .where(F.col("rank") <= k)
-    return imps.join(clicked, ["user_id", "campaign_id"], "left").select(
-        "user_id", "rank", "timestamp", "campaign_id", "advertiser_id",
-        F.when(F.col("_hit"), F.lit("Yes")).otherwise(F.lit("No")).alias("clicked"))
+    return imps.select("user_id", "rank", "timestamp", "campaign_id", "advertiser_id",
+                       F.when(F.col("_hit") == 1, F.lit("Yes")).otherwise(F.lit("No")).alias("clicked"))

@@ -111,3 +111,24 @@ def read_published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def manifest_counts(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/_manifest").select("table", "rows")
+
+
+def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_col: str,
+                      seq_col: str = "load_seq") -> None:
+    """B4 as a write: merge ``batch`` into the partitioned Parquet table at ``path``,
+    last write wins per ``key``, rewriting only the partitions the batch touches
+    (dynamic partition overwrite).  The merged rows are checkpointed before the
+    overwrite, since the job reads the partitions it replaces."""
+    from adspark.operators.merge import upsert_latest
+    from adspark.session import materialize
+
+    try:
+        existing = spark.read.parquet(path)
+    except Exception:  # first load: nothing to merge with
+        write_table(batch, path, partition_by=[partition_col])
+        return
+    touched = batch.select(partition_col).distinct()
+    current = existing.join(F.broadcast(touched), partition_col, "left_semi")  # one row per touched partition
+    merged = materialize(upsert_latest(current.select(*batch.columns), batch, key, seq_col))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(partition_col).parquet(path)

@@ -57,7 +57,8 @@ def _norm(v):
                                   "top_users_clicks", "budget_spent", "device_ctr", "campaign_performance",
                                   "user_engagements", "top_advertisers_31d", "top_region_advertisers", "last_ads_seen",
                                   "ad_sessions", "last_sessions", "clicks_per_hour", "top_categories", "fact_clicks",
-                                  "engagement_history", "counter_merge"])
+                                  "engagement_history", "counter_merge", "stream_campaign_day", "upsert_latest",
+                                  "check_fit", "check_not_null"])
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
     for t in ["part", "customer", "nation", "events", "lineitem"]:
