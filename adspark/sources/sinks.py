@@ -52,13 +52,14 @@ def flatten_for_text(df: DataFrame, sep: str = ", ") -> DataFrame:
 
 
 def write_report(sections: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
-    """B2: one CSV directory per titled section.  Sections are aggregates or top-k, so
-    each is written as one file (``coalesce(1)``)."""
+    """B2: one CSV directory per titled section.  Sections keep their own partitioning
+    (a per-campaign or per-user section can be large, so nothing is forced into one
+    task); AQE already merges the small partitions of aggregates and top-k results."""
     paths = {}
     for title, df in sections.items():
         safe = "".join(ch if ch.isalnum() else "_" for ch in title).strip("_").lower()
         path = f"{out_dir.rstrip('/')}/{safe}"
-        flatten_for_text(df).coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+        flatten_for_text(df).write.mode("overwrite").option("header", True).csv(path)
         paths[title] = path
     return paths
 

@@ -44,7 +44,11 @@ def campaign_day_stream(events: DataFrame, campaign_of: DataFrame, watermark: st
 
 def run_campaign_day(spark: SparkSession, source: DataFrame, campaign_of: DataFrame, out_dir: str,
                      checkpoint_dir: str, available_now: bool = True):
-    """Start the stream; each batch appends its updated windows to ``out_dir``."""
+    """Start the stream; each batch appends its updated windows to ``out_dir``.
+
+    A batch re-run after a failure appends the same rows with the same batch id again;
+    ``current_counters`` keeps one row per window from the highest batch id, so the
+    copies do not change the result."""
     plan = campaign_day_stream(source, campaign_of)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
