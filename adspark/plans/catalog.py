@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspark.operators import documents, rollups
+from adspark.operators import documents, quality, rollups
 from adspark.operators.clean import normalize_campaigns, normalize_events, normalize_users
 from adspark.operators.keys import keep_one, sized_broadcast
 from adspark.operators.model import build_star, campaign_lookup, resolve_events
@@ -88,13 +88,29 @@ def build_all(spark: SparkSession, sf_dir: str) -> dict:
     return t
 
 
+# Keys the load verifies before publishing (E2).  Reports rely on them: with one row per
+# impression and at most one click per impression, COUNT(DISTINCT impression_id) over
+# impressions LEFT JOIN clicks equals COUNT(impression_id), which needs no shuffle of ids.
+KEY_CHECKS = {
+    "pk_ad_impressions": lambda w: quality.check_unique(w["ad_impressions"], ["impression_id"]),
+    "unique_click_per_impression": lambda w: quality.check_unique(w["ad_clicks"], ["impression_id"]),
+    "pk_ad_clicks": lambda w: quality.check_unique(w["ad_clicks"], ["click_id"]),
+}
+VERIFIED_KEYS = "_verified_keys"
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Published warehouse for ``sf_dir``; built on first use in this application."""
+    """Published warehouse for ``sf_dir``; built on first use in this application.
+
+    Publishing fails unless the fact keys hold (``KEY_CHECKS``); the returned dict then
+    carries ``VERIFIED_KEYS`` so that reports may count instead of count-distinct."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _WAREHOUSES:
         root = scratch_path(spark, "warehouse/" + hashlib.sha1(key[1].encode()).hexdigest()[:16])
-        publish_tables(spark, build_all(spark, sf_dir), root, layouts=LAYOUTS)
-        _WAREHOUSES[key] = read_published(spark, root)
+        publish_tables(spark, build_all(spark, sf_dir), root, checks=KEY_CHECKS, layouts=LAYOUTS)
+        tables = read_published(spark, root)
+        tables[VERIFIED_KEYS] = set(KEY_CHECKS)
+        _WAREHOUSES[key] = tables
     return _WAREHOUSES[key]
 
 

@@ -45,6 +45,20 @@ def join_clicks(impressions: DataFrame, clicks: DataFrame) -> DataFrame:
     return impressions.join(clicks.select("impression_id", "click_id", "click_timestamp"), "impression_id", "left")
 
 
+def count_ids(star: dict, col: str, key_checks: set[str]) -> F.Column:
+    """COUNT(DISTINCT col) as written; a plain COUNT when the load verified the keys that
+    make ``col`` unique in what is counted (no shuffle of every id to de-duplicate)."""
+    if key_checks <= set(star.get("_verified_keys", ())):
+        return F.count(col)
+    return F.countDistinct(col)
+
+
+def _impressions_counted(star: dict) -> F.Column:
+    """Distinct impressions over impressions LEFT JOIN clicks: one row per impression
+    when impressions have a primary key and each has at most one click."""
+    return count_ids(star, "impression_id", {"pk_ad_impressions", "unique_click_per_impression"})
+
+
 def _campaign_names(star: dict) -> DataFrame:
     return sized_broadcast(star["campaigns"].select("campaign_id", "campaign_name"))
 
@@ -52,7 +66,7 @@ def _campaign_names(star: dict) -> DataFrame:
 def top_campaigns_ctr(star: dict, start: str, end: str, k: int = 5) -> DataFrame:
     """top campaigns by CTR = clicks * 100 / distinct impressions, in a window."""
     j = window_impressions(star, start, end, ["impression_id", "campaign_id", "click_id"], with_clicks=True)
-    per = j.groupBy("campaign_id").agg(F.countDistinct("impression_id").alias("impressions"),
+    per = j.groupBy("campaign_id").agg(_impressions_counted(star).alias("impressions"),
                                        F.count("click_id").alias("clicks"))
     out = per.join(_campaign_names(star), "campaign_id").select(
         "campaign_id", "campaign_name", "impressions", "clicks",
@@ -125,7 +139,7 @@ def budget_spent(star: dict, threshold_pct: int = 80) -> DataFrame:
 def device_ctr(star: dict, start: str, end: str) -> DataFrame:
     """CTR per device."""
     j = window_impressions(star, start, end, ["impression_id", "device", "click_id"], with_clicks=True)
-    per = j.groupBy("device").agg(F.countDistinct("impression_id").alias("impressions"),
+    per = j.groupBy("device").agg(_impressions_counted(star).alias("impressions"),
                                   F.count("click_id").alias("clicks"))
     return per.select("device", "impressions", "clicks",
                       round_ratio(F.col("clicks") * 100, "impressions").alias("ctr_percentage")) \
@@ -139,8 +153,8 @@ def campaign_performance(star: dict, campaign_id: int | None = None) -> DataFram
                            with_clicks=True)
     if campaign_id is not None:
         j = j.where(F.col("campaign_id") == F.lit(campaign_id))
-    per = j.groupBy("campaign_id").agg(F.countDistinct("impression_id").alias("impressions"),
-                                       F.countDistinct("click_id").alias("clicks"),
+    per = j.groupBy("campaign_id").agg(_impressions_counted(star).alias("impressions"),
+                                       count_ids(star, "click_id", {"pk_ad_clicks", "pk_ad_impressions"}).alias("clicks"),
                                        money_sum("ad_cost").alias("spend"))
     return per.select("campaign_id", "impressions", "clicks",
                       F.coalesce(round_ratio(F.col("clicks") * 100, "impressions", 4), F.lit(0.0)).alias("ctr"),

@@ -71,7 +71,8 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
 
     Tables are written in order; a callable value is a later stage, called with the
     tables written so far (read back from Parquet), so no stage recomputes the lineage
-    of an earlier one.  Every table goes under a fresh version folder; the checks
+    of an earlier one; a check may be such a callable too.  Every table goes under a
+    fresh version folder; the checks
     must all be empty; only then is the manifest (table -> path, rows) written.  Readers
     go through the manifest, so a failed load leaves the published version untouched.
     """
@@ -96,7 +97,8 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
         written[name] = spark.read.parquet(path)
         rows.append((name, path, written[name].count()))
         log.info("published %s: %d rows in %.1fs", name, rows[-1][2], time.time() - t0)
-    failed = {k: v for k, v in (checks or {}).items() if not v.isEmpty()}
+    resolved = {k: (v(written) if callable(v) else v) for k, v in (checks or {}).items()}
+    failed = {k: v for k, v in resolved.items() if not v.isEmpty()}
     if failed:
         raise ValueError(f"load rejected, violated checks: {sorted(failed)}")
     manifest = spark.createDataFrame(rows, "table string, path string, rows bigint")
