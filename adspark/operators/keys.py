@@ -24,6 +24,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def broadcastable(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when ``df`` is proven small: the optimizer's estimate (no job) is at most
+    ``max_bytes``, or else an exact count is at most ``max_rows``."""
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return True
+    return df.count() <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                     max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only when ``df`` is proven small.
@@ -33,12 +43,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     plain DataFrame is returned and the join stays a shuffle join (AQE may still turn
     it into a broadcast at run time from real shuffle sizes).
     """
-    est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    if df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if broadcastable(df, max_rows, max_bytes) else df
 
 
 def dense_ids(df: DataFrame, order_by: list, id_col: str, start: int = 1) -> DataFrame:

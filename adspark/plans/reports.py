@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adspark.functions.metrics import money_sum, money_units, round_money, round_ratio
-from adspark.operators.keys import sized_broadcast
+from adspark.operators.keys import broadcastable, sized_broadcast
 
 
 def _ts(x: str) -> F.Column:
@@ -76,16 +76,26 @@ def top_campaigns_ctr(star: dict, start: str, end: str, k: int = 5) -> DataFrame
 
 def advertiser_spend(star: dict, start: str, end: str) -> DataFrame:
     """spend per advertiser in the window, highest first."""
-    per_campaign = window_impressions(star, start, end, ["campaign_id", "ad_cost"]) \
-        .groupBy("campaign_id").agg(money_sum("ad_cost").alias("spend"))
-    camp = sized_broadcast(star["campaigns"].select("campaign_id", "advertiser_id"))
-    per_adv = per_campaign.join(camp, "campaign_id").groupBy("advertiser_id") \
-        .agg(F.sum("spend").alias("spend"))
+    imps = window_impressions(star, start, end, ["campaign_id", "ad_cost"])
+    per_adv = spend_by_advertiser(imps, star["campaigns"].select("campaign_id", "advertiser_id"))
     out = per_adv.join(sized_broadcast(star["advertisers"]), "advertiser_id").select(
         "advertiser_id", "advertiser_name", round_money("spend").alias("total_spent"))
     return out.orderBy(F.desc("total_spent"), "advertiser_id")
 
 
+def spend_by_advertiser(imps: DataFrame, campaign_advertiser: DataFrame) -> DataFrame:
+    """Exact spend per advertiser.  With the campaign -> advertiser map proven small it
+    is broadcast and joined on the map side, leaving one partial + final aggregate;
+    otherwise impressions are first reduced per campaign and the (small) result is
+    joined, so the fact side never shuffles whole."""
+    if broadcastable(campaign_advertiser):
+        j = imps.join(F.broadcast(campaign_advertiser), "campaign_id")
+        return j.groupBy("advertiser_id").agg(money_sum("ad_cost").alias("spend"))
+    per_campaign = imps.groupBy("campaign_id").agg(money_sum("ad_cost").alias("spend"))
+    return per_campaign.join(campaign_advertiser, "campaign_id").groupBy("advertiser_id") \
+        .agg(F.sum("spend").alias("spend"))
+
+
 def campaign_cpc_cpm(star: dict, start: str, end: str) -> DataFrame:
     """CPC = cost / clicks (NULL without clicks), CPM = cost / impressions * 1000."""
     j = window_impressions(star, start, end, ["impression_id", "campaign_id", "ad_cost", "click_id"],
@@ -166,10 +176,8 @@ def advertiser_total_spend(star: dict, advertiser_id: int | None = None) -> Data
     camp = star["campaigns"].select("campaign_id", "advertiser_id")
     if advertiser_id is not None:
         camp = camp.where(F.col("advertiser_id") == F.lit(advertiser_id))
-    per_campaign = star["ad_impressions"].select("campaign_id", "ad_cost") \
-        .groupBy("campaign_id").agg(money_sum("ad_cost").alias("spend"))
-    return per_campaign.join(sized_broadcast(camp), "campaign_id").groupBy("advertiser_id") \
-        .agg(F.sum("spend").cast("double").alias("ad_spend"))
+    per_adv = spend_by_advertiser(star["ad_impressions"].select("campaign_id", "ad_cost"), camp)
+    return per_adv.select("advertiser_id", F.col("spend").cast("double").alias("ad_spend"))
 
 
 def user_engagements(star: dict, user_id: int | None = None) -> DataFrame:
