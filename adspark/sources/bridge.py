@@ -105,8 +105,8 @@ def raw_ad_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Data
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     users = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left") \
         .select(F.col("c_custkey"), F.col("n_name"))
-    df = (ev.join(sized_broadcast(camp, 1_000_000), "k", "left")
-            .join(users, ev.user_id == users.c_custkey, "left"))
+    df = (ev.join(sized_broadcast(camp), "k", "left")
+            .join(sized_broadcast(users), ev.user_id == users.c_custkey, "left"))
     cost = "CAST(value AS STRING)"
     ts = "CAST(ts AS STRING)"
     if dirty:
