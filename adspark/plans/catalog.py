@@ -21,7 +21,7 @@ from adspark.operators.keys import keep_one, sized_broadcast
 from adspark.operators.model import build_star, campaign_lookup, resolve_events
 from adspark.plans import reports
 from adspark.session import scratch_path
-from adspark.sources.bridge import raw_inputs
+from adspark.sources.bridge import RawInputs, raw_inputs
 from adspark.sources.sinks import publish_tables, read_published
 
 _WAREHOUSES: dict[tuple, dict[str, DataFrame]] = {}
@@ -53,10 +53,9 @@ def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame,
     return resolved.join(sized_broadcast(attrs), "campaign_id", "left")
 
 
-def build_all(spark: SparkSession, sf_dir: str) -> dict:
+def build_all(raw: RawInputs) -> dict:
     """Every table of the load stage, in dependency order.  Later stages are callables
     over the tables already written, so each stage reads Parquet, not the lineage."""
-    raw = raw_inputs(spark, sf_dir)
     t: dict = {
         # the reference's normalised dataset
         "events_clean": normalize_events(raw.ad_events),
@@ -99,6 +98,21 @@ KEY_CHECKS = {
 VERIFIED_KEYS = "_verified_keys"
 
 
+def publish_warehouse(spark: SparkSession, raw: RawInputs, root: str) -> dict[str, DataFrame]:
+    """Load ``raw`` (e.g. ``sources.csv.read_inputs`` over the three CSV files) into a
+    new published version under ``root`` and open it."""
+    publish_tables(spark, build_all(raw), root, checks=KEY_CHECKS, layouts=LAYOUTS)
+    return open_warehouse(spark, root)
+
+
+def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The last published version under ``root``.  A version is only published after
+    its key checks passed, so the verified keys come with it."""
+    tables = read_published(spark, root)
+    tables[VERIFIED_KEYS] = set(KEY_CHECKS)
+    return tables
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Published warehouse for ``sf_dir``; built on first use in this application.
 
@@ -107,10 +121,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _WAREHOUSES:
         root = scratch_path(spark, "warehouse/" + hashlib.sha1(key[1].encode()).hexdigest()[:16])
-        publish_tables(spark, build_all(spark, sf_dir), root, checks=KEY_CHECKS, layouts=LAYOUTS)
-        tables = read_published(spark, root)
-        tables[VERIFIED_KEYS] = set(KEY_CHECKS)
-        _WAREHOUSES[key] = tables
+        _WAREHOUSES[key] = publish_warehouse(spark, raw_inputs(spark, sf_dir), root)
     return _WAREHOUSES[key]
 
 

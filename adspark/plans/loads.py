@@ -306,16 +306,8 @@ def report_sections(spark, sf_dir, start: str = "2024-01-01", end: str = "2024-0
     """B2 + B8: the SQL report written as one CSV per section; returns rows per section."""
     w = warehouse(spark, sf_dir)
     from adspark.plans import documents as H
-    sections = {
-        "Top 5 Campaigns by CTR": reports.top_campaigns_ctr(w, start, end),
-        "Advertisers with Highest Spend": reports.advertiser_spend(w, start, end),
-        "Average CPC and CPM per Campaign": reports.campaign_cpc_cpm(w, start, end),
-        "Top Locations by Revenue": reports.top_locations_revenue(w, start, end),
-        "Top Users by Clicks": reports.top_users_clicks(w, start, end),
-        "Campaigns with 80 pct Budget Spent": reports.budget_spent(w),
-        "CTR by Device": reports.device_ctr(w, start, end),
-        "All ad interactions for a sampled user": H.user_interactions(w["ad_sessions"]),
-    }
+    sections = dict(reports.sql_report(w, start, end))
+    sections["All ad interactions for a sampled user"] = H.user_interactions(w["ad_sessions"])
     out = _fresh(spark, "report")
     paths = write_report(sections, out)
     parts = [spark.read.option("header", True).csv(p).select(F.lit(t).alias("section"))

@@ -193,3 +193,16 @@ def user_engagements(star: dict, user_id: int | None = None) -> DataFrame:
                     F.col("impression_timestamp").alias("impression_time"),
                     F.col("click_timestamp").alias("click_time")) \
         .orderBy(F.desc("click_time"), "click_id")
+
+
+def sql_report(star: dict, start: str, end: str) -> dict[str, DataFrame]:
+    """The reference's SQL report: its seven sections, titled, for one window."""
+    return {
+        "Top 5 Campaigns by Click-Through Rate (CTR)": top_campaigns_ctr(star, start, end),
+        "Advertisers with Highest Spend": advertiser_spend(star, start, end),
+        "Cost Efficiency: Average CPC and CPM per Campaign": campaign_cpc_cpm(star, start, end),
+        "Top Locations by Total Ad Revenue from Clicks": top_locations_revenue(star, start, end),
+        "Top 10 Most Engaged Users by Clicks": top_users_clicks(star, start, end),
+        "Campaigns with > 80% Budget Spent": budget_spent(star),
+        "CTR Comparison Across Devices": device_ctr(star, start, end),
+    }

@@ -49,3 +49,12 @@ def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     of millions of rows (the reference caps at 3,000,000 events)."""
     numbered = dense_ids(df, order_by, "_rank")
     return numbered.where(F.col("_rank") <= n).drop("_rank")
+
+
+def read_inputs(spark: SparkSession, events_path: str, campaigns_path: str, users_path: str):
+    """The three raw CSV inputs of the reference (ad events, campaigns, users) as text
+    frames, columns bound by header name."""
+    from adspark.sources.bridge import RawInputs
+    return RawInputs(read_raw(spark, events_path, RAW_EVENT_COLUMNS),
+                     read_raw(spark, campaigns_path, RAW_CAMPAIGN_COLUMNS),
+                     read_raw(spark, users_path, RAW_USER_COLUMNS))
