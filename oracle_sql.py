@@ -333,3 +333,18 @@ ORACLE["staged_publish"] = q(" UNION ALL ".join(
   SELECT user_id, trim(unnest(string_split(interests, ','))) AS name FROM bu) x
   JOIN interests i ON i.interest_name = x.name)""")
 ORACLE["stream_campaign_day"] = q(_I1)
+
+
+# ---- B2: report sections (rows per section) ------------------------------------------------
+_SECTIONS = [
+    ("Top 5 Campaigns by Click-Through Rate (CTR)", "top_campaigns_ctr"),
+    ("Advertisers with Highest Spend", "advertiser_spend"),
+    ("Cost Efficiency: Average CPC and CPM per Campaign", "campaign_cpc_cpm"),
+    ("Top Locations by Total Ad Revenue from Clicks", "top_locations_revenue"),
+    ("Top 10 Most Engaged Users by Clicks", "top_users_clicks"),
+    ("Campaigns with > 80% Budget Spent", "budget_spent"),
+    ("CTR Comparison Across Devices", "device_ctr"),
+    ("All ad interactions for a sampled user", "user_interactions"),
+]
+ORACLE["report_sections"] = " UNION ALL ".join(
+    f"SELECT '{title}' AS section, COUNT(*) AS rows FROM ({ORACLE[key]})" for title, key in _SECTIONS)

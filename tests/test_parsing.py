@@ -62,3 +62,16 @@ def test_round_ratio_half_away(spark):
     # 4087.14 / 12 = 340.595 exactly -> 340.60 (a double would give 340.59)
     df = spark.createDataFrame([(40871400, 120000)], "a long, b long")
     assert df.select(round_ratio("a", "b")).first()[0] == 340.6
+
+
+def test_round_ratio_matches_decimal_half_up(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal as D
+    rnd = random.Random(7)
+    pairs = [(rnd.randint(-10**9, 10**9), rnd.randint(1, 10**6)) for _ in range(2000)]
+    pairs += [(k * 5, 1000) for k in range(-50, 50)]  # exact halves at the third decimal
+    df = spark.createDataFrame(pairs, "a long, b long")
+    got = {(r["a"], r["b"]): r["r"] for r in df.select("a", "b", round_ratio("a", "b").alias("r")).collect()}
+    for a, b in pairs:
+        want = float((D(a) / D(b)).quantize(D("0.01"), rounding=ROUND_HALF_UP))
+        assert got[(a, b)] == want, (a, b)
