@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from adspark.functions.metrics import round_ratio
 from adspark.functions.parsing import (

@@ -1,9 +1,7 @@
-import math
 import os
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from adspark.sources.sinks import flatten_for_text, publish_tables, read_published, write_report, write_table
