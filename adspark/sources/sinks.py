@@ -66,14 +66,15 @@ def write_report(sections: dict[str, DataFrame], out_dir: str) -> dict[str, str]
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    checks: dict[str, DataFrame] | None = None,
-                   layouts: dict[str, dict] | None = None) -> dict[str, str]:
+                   layouts: dict[str, dict] | None = None, count_rows: bool = True) -> dict[str, str]:
     """All-or-nothing multi-table load.
 
     Tables are written in order; a callable value is a later stage, called with the
     tables written so far (read back from Parquet), so no stage recomputes the lineage
     of an earlier one; a check may be such a callable too.  Every table goes under a
     fresh version folder; the checks
-    must all be empty; only then is the manifest (table -> path, rows) written.  Readers
+    must all be empty; only then is the manifest (table -> path, rows) written.  With
+    ``count_rows=False`` the manifest leaves rows NULL and no count job runs.  Readers
     go through the manifest, so a failed load leaves the published version untouched.
     """
     version = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
@@ -95,8 +96,8 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                                              for c in lay["sort_by"]])
         write_table(out, path, partition_by=lay.get("partition_by"))
         written[name] = spark.read.parquet(path)
-        rows.append((name, path, written[name].count()))
-        log.info("published %s: %d rows in %.1fs", name, rows[-1][2], time.time() - t0)
+        rows.append((name, path, written[name].count() if count_rows else None))
+        log.info("published %s (%s rows) in %.1fs", name, rows[-1][2], time.time() - t0)
     resolved = {k: (v(written) if callable(v) else v) for k, v in (checks or {}).items()}
     failed = {k: v for k, v in resolved.items() if not v.isEmpty()}
     if failed:
