@@ -56,9 +56,13 @@ def session_summary(sessions: DataFrame) -> DataFrame:
         F.sum("cost").cast("double").alias("ad_cost"))
 
 
-def last_sessions(sessions: DataFrame, user_id: int | None = None, k: int = 5) -> DataFrame:
-    """H5: each user's (or one user's) last ``k`` sessions by end time, with clicks."""
-    s = session_summary(sessions if user_id is None else sessions.where(F.col("user_id") == F.lit(user_id)))
+def last_sessions(sessions: DataFrame, user_id: int | None = None, k: int = 5,
+                  sample_seed: int | None = None) -> DataFrame:
+    """H5: each user's last ``k`` sessions by end time, with clicks; or one user's
+    (given, or drawn as H9 does with ``sample_seed``)."""
+    if user_id is not None or sample_seed is not None:
+        sessions = _for_user(sessions, user_id, sample_seed or 0)
+    s = session_summary(sessions)
     w = Window.partitionBy("user_id").orderBy(F.desc("session_end"), "device")
     return s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k) \
         .select("user_id", "device", "rank", "session_start", "session_end", "clicks")

@@ -43,8 +43,10 @@ def test_sessions_bucketed_and_summary(spark):
     assert rep == {(1, 2)}  # clicks all went to campaign 1 (even i); campaign 2 seen 12x
     hours = H.clicks_per_hour(docs, "2024-01-01").collect()
     assert sum(r["clicks"] for r in hours) == 4 and {r["hour"] for r in hours} == {10}
-    picked = H.user_interactions(docs, seed=0).select("user_id").distinct().count()
-    assert picked == 1
+    picked = H.user_interactions(docs, seed=0).select("user_id").distinct().collect()
+    assert len(picked) == 1
+    sampled = H.last_sessions(docs, sample_seed=0).collect()
+    assert {r["user_id"] for r in sampled} == {picked[0]["user_id"]}
 
 
 def test_rollups_and_questions(spark):
