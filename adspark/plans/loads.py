@@ -322,10 +322,10 @@ def report_sections(spark, sf_dir, start: str = "2024-01-01", end: str = "2024-0
 def stream_campaign_day(spark, sf_dir):
     """K1 + K2: the events file as a stream -> de-duplicated, windowed campaign-day
     counters (availableNow), read back as the latest row per window."""
-    from adspark.streaming.counters import current_counters, run_campaign_day, testdata_event_stream
+    from adspark.streaming.counters import current_counters, run_campaign_day, events_file_stream
     w = warehouse(spark, sf_dir)
     run = _fresh(spark, "stream")
-    q = run_campaign_day(spark, testdata_event_stream(spark, sf_dir), model.campaign_lookup(w["campaigns_clean"]),
+    q = run_campaign_day(spark, events_file_stream(spark, sf_dir), model.campaign_lookup(w["campaigns_clean"]),
                          run + "/out", run + "/checkpoint")
     q.awaitTermination()
     return current_counters(spark, run + "/out")

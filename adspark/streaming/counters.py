@@ -65,13 +65,13 @@ def current_counters(spark: SparkSession, out_dir: str) -> DataFrame:
     return keep_one(log, ["campaign_id", "date"], ["batch_id"], last=True).drop("batch_id")
 
 
-def testdata_event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1) -> DataFrame:
-    """The driver's ``events`` table read as a file stream, in the shape the counters
+def events_file_stream(spark: SparkSession, sf_dir: str, files_per_batch: int = 1) -> DataFrame:
+    """Files ``events*.parquet`` of a folder (the driver's ``events`` table, or new
+    event files landing next to it) read as a file stream, in the shape the counters
     need (the bridge's campaign naming: ``Campaign_<k+1>``)."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
     # a file source watches a directory; the glob keeps it to the events file(s)
     glob = f"{sf_dir.rstrip('/')}/events*.parquet"
+    schema = spark.read.parquet(glob).schema
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(glob)
     return src.select(F.col("event_id").cast("string").alias("event_id"), F.col("ts"),
                       F.concat(F.lit("Campaign_"),
