@@ -89,3 +89,21 @@ def test_csv_inputs_to_warehouse(spark, tmp_dir):
     for name, df in R.sql_report(wh, E.START, E.END).items():
         other = R.sql_report(ref, E.START, E.END)[name]
         assert sorted(df.collect()) == sorted(other.collect()), name
+
+
+def test_report_headers_match_saved_reports(spark):
+    """Column names of the seven SQL report sections, as in the reference's saved report."""
+    from adspark.plans import reports as R
+    from adspark.plans.catalog import warehouse
+    # fixed values: section headers of the saved SQL report
+    want = [
+        ["campaign_id", "campaign_name", "impressions", "clicks", "ctr_percentage"],
+        ["advertiser_id", "advertiser_name", "total_spent"],
+        ["campaign_id", "campaign_name", "avg_cpc", "avg_cpm"],
+        ["user_location", "total_revenue"],
+        ["user_id", "total_clicks"],
+        ["campaign_id", "campaign_name", "budget", "remaining_budget", "percent_spent"],
+        ["device", "impressions", "clicks", "ctr_percentage"],
+    ]
+    got = [df.columns for df in R.sql_report(warehouse(spark, SF), E.START, E.END).values()]
+    assert got == want
