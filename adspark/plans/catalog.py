@@ -32,11 +32,9 @@ LAYOUTS = {
     "impression_clicks": {"range_by": ["impression_timestamp"], "sort_by": ["impression_timestamp"]},
     "ad_events": {"range_by": ["ts"], "sort_by": ["ts"]},
     "ad_sessions": {"range_by": ["user_id"], "sort_by": ["user_id", "device", "bucket"]},
-    "campaign_day": {"range_by": ["date"], "partition_by": ["date"], "sort_by": ["campaign_id"]},
-    "user_day": {"range_by": ["day"], "partition_by": ["day"], "sort_by": ["-impressions", "-clicks"]},
-    "advertiser_day": {"range_by": ["day"], "partition_by": ["day"], "sort_by": ["-total_spend"]},
-    "region_spend": {"range_by": ["region"], "sort_by": ["region", "-total_spend"]},
-    "region_day_spend": {"range_by": ["day"], "partition_by": ["day"], "sort_by": ["region", "-total_spend"]},
+    # I1-I5 in one table: one folder per rollup and day (region_spend has no day)
+    "rollups": {"range_by": ["rollup", "day"], "partition_by": ["rollup", "day"],
+                "sort_by": ["region", "-total_spend", "-impressions"]},
     "engagement_history": {"range_by": ["user_id"], "sort_by": ["user_id", "-timestamp"]},
 }
 
@@ -78,11 +76,8 @@ def build_all(raw: RawInputs) -> dict:
                                              w["advertisers"])
     t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
     t["user_interaction"] = lambda w: documents.build_user_documents(w["users_clean"])
-    t["campaign_day"] = lambda w: rollups.campaign_day(w["ad_events"])
-    t["user_day"] = lambda w: rollups.user_day(w["ad_events"])
-    t["advertiser_day"] = lambda w: rollups.advertiser_day(w["ad_events"])
-    t["region_spend"] = lambda w: rollups.region_spend(w["ad_events"])
-    t["region_day_spend"] = lambda w: rollups.region_day_spend(w["ad_events"])
+    # the five day / region rollups from one scan and one shuffle (grouping sets)
+    t["rollups"] = lambda w: rollups.all_rollups(w["ad_events"])
     t["engagement_history"] = lambda w: rollups.engagement_history(w["ad_events"])
     return t
 
@@ -109,6 +104,7 @@ def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The last published version under ``root``.  A version is only published after
     its key checks passed, so the verified keys come with it."""
     tables = read_published(spark, root)
+    tables.update(rollups.split_rollups(tables["rollups"]))  # campaign_day, user_day, ... (pruned views)
     tables[VERIFIED_KEYS] = set(KEY_CHECKS)
     return tables
 

@@ -87,3 +87,18 @@ def test_reference_parity_switches(spark):
     assert plain == {"Unknown": 1} and fanned == {"Unknown": 3}  # T8: x3 sessions
     assert {r["campaign_id"] for r in H.repeated_no_click(docs).collect()} == {2}
     assert H.repeated_no_click(docs, ad_key="impression_id").count() == 0  # T9: ids never repeat
+
+
+def test_all_rollups_equal_single_rollups(spark):
+    rows = [ev(i, 1 + i % 3, "Mobile", 1 + i % 2, i * 37, clicked=(i % 4 == 0), day=1 + i % 3) for i in range(40)]
+    rows.append(("99", None, "Mobile", 1, "C1", "x", "y", 1, "Adv", None, dt.datetime(2024, 1, 2), None, None,
+                 None, None, None))
+    e = events(spark, rows).withColumn("ad_cost", F.lit("1.2500").cast("decimal(8,4)"))
+    split = rollups.split_rollups(rollups.all_rollups(e))
+    single = {"campaign_day": rollups.campaign_day(e), "user_day": rollups.user_day(e),
+              "advertiser_day": rollups.advertiser_day(e), "region_spend": rollups.region_spend(e),
+              "region_day_spend": rollups.region_day_spend(e)}
+    for name, df in single.items():
+        got = split[name]
+        assert sorted(got.columns) == sorted(df.columns), name
+        assert sorted(got.select(*df.columns).collect()) == sorted(df.collect()), name
