@@ -27,7 +27,6 @@ from adspark.sources.sinks import publish_tables, read_published
 _WAREHOUSES: dict[tuple, dict[str, DataFrame]] = {}
 
 LAYOUTS = {
-    "ad_impressions": {"range_by": ["impression_timestamp"], "sort_by": ["impression_timestamp"]},
     "ad_clicks": {"range_by": ["click_timestamp"], "sort_by": ["click_timestamp"]},
     "impression_clicks": {"range_by": ["impression_timestamp"], "sort_by": ["impression_timestamp"]},
     "ad_events": {"range_by": ["ts"], "sort_by": ["ts"]},
@@ -67,11 +66,12 @@ def build_all(raw: RawInputs) -> dict:
         return w["_star"]
 
     for name in ["countries", "interests", "advertisers", "users", "campaigns", "users_interests",
-                 "ad_impressions", "ad_clicks"]:
+                 "ad_clicks"]:
         t[name] = (lambda n: lambda w: getattr(star(w), n))(name)
     t["rejects"] = lambda w: star(w).rejects
     # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
-    t["impression_clicks"] = lambda w: reports.join_clicks(w["ad_impressions"], w["ad_clicks"])
+    # the impression fact is stored once, with its click: ad_impressions is a view of it
+    t["impression_clicks"] = lambda w: reports.join_clicks(star(w).ad_impressions, w["ad_clicks"])
     t["ad_events"] = lambda w: enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"],
                                              w["advertisers"])
     t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
@@ -86,11 +86,13 @@ def build_all(raw: RawInputs) -> dict:
 # impression and at most one click per impression, COUNT(DISTINCT impression_id) over
 # impressions LEFT JOIN clicks equals COUNT(impression_id), which needs no shuffle of ids.
 KEY_CHECKS = {
-    "pk_ad_impressions": lambda w: quality.check_unique(w["ad_impressions"], ["impression_id"]),
+    "pk_ad_impressions": lambda w: quality.check_unique(w["impression_clicks"], ["impression_id"]),
     "unique_click_per_impression": lambda w: quality.check_unique(w["ad_clicks"], ["impression_id"]),
     "pk_ad_clicks": lambda w: quality.check_unique(w["ad_clicks"], ["click_id"]),
 }
 VERIFIED_KEYS = "_verified_keys"
+IMPRESSION_COLUMNS = ["impression_id", "campaign_id", "user_id", "device", "location_id", "impression_timestamp",
+                      "bid_amount", "ad_cost", "ad_revenue"]
 
 
 def publish_warehouse(spark: SparkSession, raw: RawInputs, root: str) -> dict[str, DataFrame]:
@@ -104,6 +106,7 @@ def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The last published version under ``root``.  A version is only published after
     its key checks passed, so the verified keys come with it."""
     tables = read_published(spark, root)
+    tables["ad_impressions"] = tables["impression_clicks"].select(*IMPRESSION_COLUMNS)
     tables.update(rollups.split_rollups(tables["rollups"]))  # campaign_day, user_day, ... (pruned views)
     tables[VERIFIED_KEYS] = set(KEY_CHECKS)
     return tables
