@@ -29,7 +29,6 @@ _WAREHOUSES: dict[tuple, dict[str, DataFrame]] = {}
 LAYOUTS = {
     "ad_clicks": {"range_by": ["click_timestamp"], "sort_by": ["click_timestamp"]},
     "impression_clicks": {"range_by": ["impression_timestamp"], "sort_by": ["impression_timestamp"]},
-    "ad_events": {"range_by": ["ts"], "sort_by": ["ts"]},
     "ad_sessions": {"range_by": ["user_id"], "sort_by": ["user_id", "device", "bucket"]},
     # I1-I5 in one table: one folder per rollup and day (region_spend has no day)
     "rollups": {"range_by": ["rollup", "day"], "partition_by": ["rollup", "day"],
@@ -50,6 +49,14 @@ def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame,
     return resolved.join(sized_broadcast(attrs), "campaign_id", "left")
 
 
+def events_view(w: dict) -> DataFrame:
+    """Clean events with campaign / advertiser / location ids and campaign attributes."""
+    return enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"], w["advertisers"])
+
+
+VIEWS = frozenset({"ad_events"})
+
+
 def build_all(raw: RawInputs) -> dict:
     """Every table of the load stage, in dependency order.  Later stages are callables
     over the tables already written, so each stage reads Parquet, not the lineage."""
@@ -72,8 +79,8 @@ def build_all(raw: RawInputs) -> dict:
     # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
     # the impression fact is stored once, with its click: ad_impressions is a view of it
     t["impression_clicks"] = lambda w: reports.join_clicks(star(w).ad_impressions, w["ad_clicks"])
-    t["ad_events"] = lambda w: enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"],
-                                             w["advertisers"])
+    # resolved events: a view (broadcast lookups over events_clean), not a third copy of the events
+    t["ad_events"] = lambda w: events_view(w)
     t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
     t["user_interaction"] = lambda w: documents.build_user_documents(w["users_clean"])
     # the five day / region rollups from one scan and one shuffle (grouping sets)
@@ -98,7 +105,7 @@ IMPRESSION_COLUMNS = ["impression_id", "campaign_id", "user_id", "device", "loca
 def publish_warehouse(spark: SparkSession, raw: RawInputs, root: str) -> dict[str, DataFrame]:
     """Load ``raw`` (e.g. ``sources.csv.read_inputs`` over the three CSV files) into a
     new published version under ``root`` and open it."""
-    publish_tables(spark, build_all(raw), root, checks=KEY_CHECKS, layouts=LAYOUTS, count_rows=False)
+    publish_tables(spark, build_all(raw), root, checks=KEY_CHECKS, layouts=LAYOUTS, count_rows=False, views=VIEWS)
     return open_warehouse(spark, root)
 
 
@@ -107,6 +114,7 @@ def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     its key checks passed, so the verified keys come with it."""
     tables = read_published(spark, root)
     tables["ad_impressions"] = tables["impression_clicks"].select(*IMPRESSION_COLUMNS)
+    tables["ad_events"] = events_view(tables)
     tables.update(rollups.split_rollups(tables["rollups"]))  # campaign_day, user_day, ... (pruned views)
     tables[VERIFIED_KEYS] = set(KEY_CHECKS)
     return tables

@@ -66,16 +66,18 @@ def write_report(sections: dict[str, DataFrame], out_dir: str) -> dict[str, str]
 
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    checks: dict[str, DataFrame] | None = None,
-                   layouts: dict[str, dict] | None = None, count_rows: bool = True) -> dict[str, str]:
+                   layouts: dict[str, dict] | None = None, count_rows: bool = True,
+                   views: set[str] | frozenset = frozenset()) -> dict[str, str]:
     """All-or-nothing multi-table load.
 
     Tables are written in order; a callable value is a later stage, called with the
     tables written so far (read back from Parquet), so no stage recomputes the lineage
-    of an earlier one; a check may be such a callable too.  Every table goes under a
-    fresh version folder; the checks
-    must all be empty; only then is the manifest (table -> path, rows) written.  With
-    ``count_rows=False`` the manifest leaves rows NULL and no count job runs.  Readers
-    go through the manifest, so a failed load leaves the published version untouched.
+    of an earlier one; a check may be such a callable too.  Names in ``views`` are
+    handed to later stages as plans over written tables and not stored.  Every table
+    goes under a fresh version folder; the checks must all be empty; only then is the
+    manifest (table -> path, rows) written (``count_rows=False``: rows NULL, no count
+    job).  Readers go through the manifest, so a failed load leaves the published
+    version untouched.
     """
     version = f"{root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
     layouts = layouts or {}
@@ -86,6 +88,9 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
         t0 = time.time()
         if callable(df):  # a later stage, built from the tables already written
             df = df(written)
+        if name in views:  # a plan over written tables, used by later stages but not stored
+            written[name] = df
+            continue
         path = f"{version}/{name}"
         lay = layouts.get(name, {})
         out = df
