@@ -37,21 +37,30 @@ LAYOUTS = {
 }
 
 
-def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame,
-                  advertisers: DataFrame) -> DataFrame:
+def campaign_attrs(campaigns: DataFrame) -> DataFrame:
+    """campaign_id -> targeting interest / country (one row per id)."""
+    return keep_one(campaigns.where(F.col("campaign_id").isNotNull())
+                    .select("campaign_id", F.col("interest").alias("campaign_interest"),
+                            F.col("country").alias("campaign_location")),
+                    ["campaign_id"], ["campaign_interest", "campaign_location"])
+
+
+def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame, advertisers: DataFrame,
+                  names: DataFrame | None = None, attrs: DataFrame | None = None) -> DataFrame:
     """Clean events + campaign id (by name), advertiser id, location id and the resolved
-    campaign's targeting interest / country (the document fields)."""
-    resolved = resolve_events(events, campaign_lookup(campaigns), countries, advertisers)
-    attrs = keep_one(campaigns.where(F.col("campaign_id").isNotNull())
-                     .select("campaign_id", F.col("interest").alias("campaign_interest"),
-                             F.col("country").alias("campaign_location")),
-                     ["campaign_id"], ["campaign_interest", "campaign_location"])
+    campaign's targeting interest / country (the document fields).  ``names`` /
+    ``attrs`` are the two campaign lookups if already built."""
+    names = campaign_lookup(campaigns) if names is None else names
+    attrs = campaign_attrs(campaigns) if attrs is None else attrs
+    resolved = resolve_events(events, names, countries, advertisers)
     return resolved.join(sized_broadcast(attrs), "campaign_id", "left")
 
 
 def events_view(w: dict) -> DataFrame:
-    """Clean events with campaign / advertiser / location ids and campaign attributes."""
-    return enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"], w["advertisers"])
+    """Clean events with campaign / advertiser / location ids and campaign attributes:
+    broadcast lookups over the published tables (no aggregate per use)."""
+    return enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"], w["advertisers"],
+                         names=w["campaign_names"], attrs=w["campaign_attrs"])
 
 
 VIEWS = frozenset({"ad_events"})
@@ -79,6 +88,9 @@ def build_all(raw: RawInputs) -> dict:
     # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
     # the impression fact is stored once, with its click: ad_impressions is a view of it
     t["impression_clicks"] = lambda w: reports.join_clicks(star(w).ad_impressions, w["ad_clicks"])
+    # the two small campaign lookups of the events view, built once
+    t["campaign_names"] = lambda w: campaign_lookup(w["campaigns_clean"])
+    t["campaign_attrs"] = lambda w: campaign_attrs(w["campaigns_clean"])
     # resolved events: a view (broadcast lookups over events_clean), not a third copy of the events
     t["ad_events"] = lambda w: events_view(w)
     t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
