@@ -18,8 +18,6 @@ from adspark.functions.parsing import list_keep_blanks
 from adspark.operators.keys import sized_broadcast
 
 DEFAULT_BUCKET = 1000
-
-
 CLICK_EVENT = StructType([StructField("click_timestamp", TimestampNTZType(), True)])
 
 
