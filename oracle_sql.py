@@ -203,7 +203,7 @@ ORACLE["top_users_31d"] = q(f"""SELECT user_id, CAST(SUM(clicks) AS BIGINT) AS c
 FROM ({_I2}) WHERE day BETWEEN {_LO} AND DATE '{AS_OF}' GROUP BY user_id ORDER BY clicks DESC, user_id LIMIT 10""")
 ORACLE["top_region_advertisers"] = q(f"""SELECT * FROM (
   SELECT region, advertiser_id, total_spend,
-         row_number() OVER (PARTITION BY region ORDER BY total_spend DESC, advertiser_id) AS rank
+         CAST(row_number() OVER (PARTITION BY region ORDER BY total_spend DESC, advertiser_id) AS INTEGER) AS rank
   FROM (SELECT region, advertiser_id, CAST(round(SUM(total_spend), 2) AS DOUBLE) AS total_spend
         FROM ({_I5}) WHERE day BETWEEN {_LO} AND DATE '{AS_OF}' GROUP BY region, advertiser_id))
 WHERE rank <= 5""")
@@ -212,7 +212,7 @@ recent AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY timestamp
 clicked AS (SELECT DISTINCT user_id, campaign_id FROM recent WHERE action = 'click')
 SELECT x.user_id, x.rank, x.timestamp, x.campaign_id, x.advertiser_id,
        CASE WHEN c.user_id IS NOT NULL THEN 'Yes' ELSE 'No' END AS clicked
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY r) AS rank FROM recent WHERE action = 'impression') x
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY r) AS INTEGER) AS rank FROM recent WHERE action = 'impression') x
 LEFT JOIN clicked c ON c.user_id = x.user_id AND c.campaign_id = x.campaign_id
 WHERE x.rank <= 10""")
 
@@ -225,7 +225,7 @@ FROM {_DOC} GROUP BY user_id, device""")
 ORACLE["user_documents"] = q("""SELECT user_id, age, raw_gender AS gender, location,
        CASE WHEN interests IS NULL OR trim(interests) = '' THEN ''
             ELSE array_to_string(list_transform(string_split(interests, ','), lambda x: trim(x)), '|') END AS interests,
-       CASE WHEN interests IS NULL OR trim(interests) = '' THEN 0 ELSE len(string_split(interests, ',')) END AS n_interests,
+       CASE WHEN interests IS NULL OR trim(interests) = '' THEN 0 ELSE CAST(len(string_split(interests, ',')) AS INTEGER) END AS n_interests,
        CAST(signup_date AS TIMESTAMP) AS signup_date, 0 AS total_impressions, 0 AS total_clicks FROM bu""")
 ORACLE["user_interactions"] = q(f"""SELECT user_id, event_id AS impression_id, campaign_id, campaign_interest,
        campaign_location, campaign_name, advertiser_id, ts AS timestamp, location,
@@ -235,7 +235,7 @@ FROM {_DOC} WHERE user_id = (
   SELECT user_id FROM (SELECT DISTINCT user_id, device FROM {_DOC})
   ORDER BY md5(concat_ws(':', CAST(user_id AS VARCHAR), device, '0')), user_id, device LIMIT 1)""")
 ORACLE["last_sessions"] = q(f"""SELECT user_id, device, rank, session_start, session_end, clicks FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY session_end DESC, device) AS rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY session_end DESC, device) AS INTEGER) AS rank FROM (
     SELECT user_id, device, min(ts) AS session_start, max(ts) AS session_end,
            COUNT(*) FILTER (WHERE coalesce(was_clicked, false)) AS clicks FROM {_DOC} GROUP BY user_id, device))
 WHERE rank <= 5""")
@@ -245,7 +245,7 @@ GROUP BY ALL""")
 ORACLE["repeated_no_click"] = q(f"""SELECT user_id, campaign_id, COUNT(*) AS impressions FROM {_DOC}
 GROUP BY user_id, campaign_id HAVING COUNT(*) >= 5 AND NOT bool_or(coalesce(was_clicked, false))""")
 ORACLE["top_categories"] = q(f"""SELECT * FROM (
-  SELECT user_id, category, clicks, row_number() OVER (PARTITION BY user_id ORDER BY clicks DESC, category) AS rank
+  SELECT user_id, category, clicks, CAST(row_number() OVER (PARTITION BY user_id ORDER BY clicks DESC, category) AS INTEGER) AS rank
   FROM (SELECT user_id, coalesce(campaign_interest, 'Unknown') AS category, COUNT(*) AS clicks
         FROM {_DOC} WHERE coalesce(was_clicked, false) GROUP BY ALL)) WHERE rank <= 3""")
 
@@ -273,7 +273,7 @@ ORACLE["explode_interests"] = q("""SELECT user_id, trim(x) AS interest FROM (
 ORACLE["interest_array_keep_blanks"] = q("""SELECT user_id,
        CASE WHEN interests IS NULL OR trim(interests) = '' THEN ''
             ELSE array_to_string(list_transform(string_split(interests, ','), lambda x: trim(x)), '|') END AS interests,
-       CASE WHEN interests IS NULL OR trim(interests) = '' THEN 0 ELSE len(string_split(interests, ',')) END AS n_interests
+       CASE WHEN interests IS NULL OR trim(interests) = '' THEN 0 ELSE CAST(len(string_split(interests, ',')) AS INTEGER) END AS n_interests
 FROM bu""")
 _GENDERS = "('Male', 'Female', 'Non-Binary', 'Other', 'Prefer not to say')"
 ORACLE["coerce_gender"] = q(f"""SELECT user_id, raw_gender,

@@ -45,8 +45,20 @@ def test_dense_ids_with_hot_prefix(spark):
     assert [(r["g"], r["id"], r["rid"]) for r in got] == [(0, 0, 1), (0, 19998, 10000), (1, 1, 10001), (1, 19999, 20000)]
 
 
-def test_registered_plans_stay_in_the_jvm(spark):
+def test_registered_plans_stay_in_the_jvm_and_types_match_oracle(spark):
+    import duckdb
+    con = duckdb.connect()
+    for t in ["nation", "customer", "part", "events", "lineitem"]:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    as_duck = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+               "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
     bad = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
+    oracle = E.oracle_sql()
     for name, fn in E.queries().items():
-        plan = _plan(fn(spark, SF))
+        df = fn(spark, SF)
+        plan = _plan(df)
         assert not any(b in plan for b in bad), name
+        rel = con.sql(oracle[name])
+        duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        ours = {f.name: as_duck.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+        assert ours == duck, name
