@@ -62,3 +62,11 @@ def test_registered_plans_stay_in_the_jvm_and_types_match_oracle(spark):
         duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
         ours = {f.name: as_duck.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
         assert ours == duck, name
+
+
+def test_first_n_equals_ordered_limit(spark):
+    from adspark.sources.csv import first_n
+    df = spark.range(0, 9000, numPartitions=9).select(((F.col("id") * 7) % 100).alias("t"), F.col("id"))
+    got = sorted(tuple(r) for r in first_n(df, 1234, ["t", "id"]).collect())
+    want = sorted(tuple(r) for r in df.orderBy("t", "id").limit(1234).collect())
+    assert got == want
