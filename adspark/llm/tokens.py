@@ -9,12 +9,16 @@ whole text; ``tests/llm`` compare them on odd Unicode and white space.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import sys
+from array import array
 
 CACHE_WORDS = 400_000   # words kept by a worker; reaching it empties the cache, results do not change
+KEPT_WORDS = 1_000_000  # the same for the shorter entries of ``WordIds``
 CACHE_CHARS = 64        # longer words are encoded each time
 
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise RuntimeError("ids are taken as little-endian 32-bit numbers")
+
 _PAIR = re.compile(r"\s\s|^\s|\s$")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _TOKENIZERS: dict = {}
@@ -44,25 +48,48 @@ def spaced_words(text: str) -> list[str]:
 
 
 class WordIds:
-    """Little-endian unsigned 32-bit ids of texts under a byte-level vocabulary."""
+    """Little-endian unsigned 32-bit ids of texts under a byte-level vocabulary.
+
+    A text is split at its spaces; the words after a space are kept without it.  Such a
+    cut is one of the pre-tokenizer's unless white space stands on both sides of it, which
+    shows as an empty word or as one that starts with other white space; those texts are
+    split by ``spaced_words`` instead."""
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by the word after a space
+        self.ends = {mark: self._ids([mark])[0] for mark in ",."}
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _learn(self, new: set[str]) -> None:
+        """Ids of new words; a last comma or full stop after a letter is a piece of its own."""
+        known = self.known
+        stems = {w[:-1] if w[-1] in self.ends and w[-2:-1].isalpha() else w for w in new}
+        stems = [w for w in stems if w not in known]
+        known.update(zip(stems, self._ids([" " + w for w in stems])))
+        for w in new:
+            if w not in known:
+                known[w] = known[w[:-1]] + self.ends[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [spaced_words(t) for t in texts]
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > KEPT_WORDS:
             self.known.clear()
-        new = list(set().union(*words).difference(self.known)) if words else []
-        extra = {}
-        for word, enc in zip(new, self.tok.encode_batch_fast(new, add_special_tokens=False)):
-            ids = np.array(enc.ids, dtype="<u4").tobytes()
-            (self.known if len(word) <= CACHE_CHARS else extra)[word] = ids
         known = self.known
-        if extra:
-            known = {**extra, **{w: self.known[w] for ws in words for w in ws if w in self.known}}
-        return [b"".join(map(known.__getitem__, ws)) for ws in words]
+        split = [t.split(" ") for t in texts]
+        seen = set().union(*(ws[1:] for ws in split))
+        new = seen.difference(known)
+        odd = {w for w in new if not w or w[0].isspace()}  # never kept
+        plain = [not odd or odd.isdisjoint(ws[1:]) for ws in split]
+        self._learn(new - odd)
+        first = self._ids([ws[0] for ws in split])
+        out = [head + b"".join(map(known.__getitem__, ws[1:])) if ok else b"".join(self._ids(spaced_words(t)))
+               for head, ws, ok, t in zip(first, split, plain, texts)]
+        for w in new:
+            if len(w) > CACHE_CHARS:
+                known.pop(w, None)
+        return out
 
 
 _WORD_IDS: dict[str, WordIds] = {}
