@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adspark.llm import bpe, packing, sharding, warc
+from adspark.llm import bpe, linededup, packing, quality, secrets, sharding, warc
 from adspark.llm.common import documents, embeddings, pages
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -12,9 +12,15 @@ WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES = {
     "op3_best_fit_packing": lambda s, d: packing.best_fit_packing(documents(s, d), BYTE_VOCAB),
+    "op4_host_quality": lambda s, d: quality.op4(documents(s, d)),
+    "op5_site_lines": lambda s, d: linededup.op5(documents(s, d)),
     "op6_bpe_codec": lambda s, d: bpe.encode_documents(documents(s, d), WORD_VOCAB, digests=True),
     "op7_warc_zstd": lambda s, d: warc.archive_round_trip(s, pages(s, d)),
+    "op8_secret_scan": lambda s, d: secrets.scan(documents(s, d)),
     "op9_jump_shards": lambda s, d: sharding.shard_documents(documents(s, d)),
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op4_host_quality": quality.ORACLE,
+    "op5_site_lines": linededup.ORACLE,
+}
