@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adspark.llm import bpe, langid, linededup, packing, quality, secrets, sharding, warc
+from adspark.llm import bpe, langid, linededup, packing, quality, secrets, sharding, topk, warc
 from adspark.llm.common import documents, embeddings, pages
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES = {
+    "op1_pivot_topk": lambda s, d: topk.op1(embeddings(s, d)),
     "op2_language_id": lambda s, d: langid.op2(documents(s, d)),
     "op3_best_fit_packing": lambda s, d: packing.best_fit_packing(documents(s, d), BYTE_VOCAB),
     "op4_host_quality": lambda s, d: quality.op4(documents(s, d)),
@@ -22,6 +23,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_pivot_topk": topk.ORACLE,
     "op4_host_quality": quality.ORACLE,
     "op5_site_lines": linededup.ORACLE,
 }
