@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adspark.llm import bpe, langid, linededup, packing, quality, secrets, sharding, topk, warc
+from adspark.llm import bpe, langid, linededup, neardup, packing, quality, secrets, sharding, topk, warc
 from adspark.llm.common import documents, embeddings, pages
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,7 @@ QUERIES = {
     "op7_warc_zstd": lambda s, d: warc.archive_round_trip(s, pages(s, d)),
     "op8_secret_scan": lambda s, d: secrets.scan(documents(s, d)),
     "op9_jump_shards": lambda s, d: sharding.shard_documents(documents(s, d)),
+    "op10_jaccard_join": lambda s, d: neardup.near_duplicates(documents(s, d)),
 }
 
 ORACLE = {
