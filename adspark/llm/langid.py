@@ -22,6 +22,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -192,6 +193,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, StructType(_parse_datatype_string(added).fields + rows.schema.fields))
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows that the model rejects; the columns stay as they are."""
+    @F.pandas_udf("boolean")
+    def ok(text: pd.Series) -> pd.Series:
+        texts = [t if isinstance(t, str) else None for t in text]
+        return pd.Series([not r for at in range(0, len(texts), 64) for r in model.predict(texts[at:at + 64])[2]], dtype=bool)
+
+    return docs.filter(ok(F.col("text")))
+
+
 def op2(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
     named = identify(rows.select("doc_id", "text"), fit(rows))

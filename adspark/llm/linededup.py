@@ -14,7 +14,7 @@ hot host's pages.
 
 Cases: null text stays null.  Pages without a host are left alone.  Blank lines neither
 count nor go.  Repeated rows and doc_ids are pages of their own.  An empty table gives no
-rows.  All columns of the input stay, whatever their names.
+rows.  All columns of the input stay, whatever their names; ``n_chars`` of a changed text follows it.
 """
 
 from __future__ import annotations
@@ -68,7 +68,11 @@ def drop_site_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_
         out = (out.withColumn("__n", F.coalesce(F.expr(n_lines % "text"), F.lit(0)).cast("bigint"))
                .withColumn("__m", F.coalesce(F.expr(n_lines % "__text"), F.lit(0)).cast("bigint")))
     extra = [F.col("__n").alias("n_lines"), (F.col("__n") - F.col("__m")).alias("n_dropped")] if counts else []
-    return out.select(*[F.col("__text").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns], *extra)
+    changed = ~F.col("__text").eqNullSafe(F.col("text"))
+    return out.select(*[
+        F.col("__text").alias(c) if c == "text" else
+        F.when(changed, F.length("__text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c) if c == "n_chars" else
+        F.col(f"`{c}`") for c in columns], *extra)
 
 
 def op5(docs: DataFrame) -> DataFrame:
