@@ -138,8 +138,12 @@ def fit(docs: DataFrame) -> Model:
     if not n_languages:
         return Model([], np.ones(DIMS, np.float32), np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros(0))
     each = max(LEAST_PER_LANGUAGE, SAMPLE_DOCS // n_languages)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).drop("_n")
+    # of a language with many rows only those with small hashes, several times as many as wanted, are ranked
+    share = labelled.groupBy("lang").agg((F.lit(4.0 * each) / F.count(F.lit(1))).alias("_share"))  # a row per language
+    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    chosen = (labelled.withColumn("_h", F.xxhash64("doc_id")).join(F.broadcast(share), "lang")
+              .filter(F.pmod("_h", F.lit(1 << 30)) < F.col("_share") * F.lit(1 << 30))
+              .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("doc_id", "lang"))
     texts = (docs.select("doc_id", "lang", "text").filter("text IS NOT NULL")
              .join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``each`` rows a language
              .groupBy("doc_id", "lang").agg(F.max("text").alias("text")))
