@@ -58,6 +58,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+KEPT_WORDS = 100_000     # word hashes a worker keeps
 _WORDS: dict[str, int] = {}
 
 
@@ -65,7 +66,7 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     import xxhash
 
     known = _WORDS
-    if len(known) > 1_000_000:
+    if len(known) > KEPT_WORDS:
         known.clear()
     for w in set(words).difference(known):
         known[w] = xxhash.xxh64_intdigest(w)

@@ -13,7 +13,7 @@ import sys
 from array import array
 
 CACHE_WORDS = 400_000   # words kept by a worker; reaching it empties the cache, results do not change
-KEPT_WORDS = 1_000_000  # the same for the shorter entries of ``WordIds``
+KEPT_WORDS = 500_000    # the same for the shorter entries of ``WordIds``
 CACHE_CHARS = 64        # longer words are encoded each time
 
 if array("I").itemsize != 4 or sys.byteorder != "little":
