@@ -12,8 +12,11 @@ import re
 import sys
 from array import array
 
+import numpy as np
+
 CACHE_WORDS = 400_000   # words kept by a worker; reaching it empties the cache, results do not change
 KEPT_WORDS = 500_000    # the same for the shorter entries of ``WordIds``
+JOINED_WORDS = 1000     # new words encoded together
 CACHE_CHARS = 64        # longer words are encoded each time
 
 if array("I").itemsize != 4 or sys.byteorder != "little":
@@ -59,6 +62,9 @@ class WordIds:
         self.tok = tokenizer(path)
         self.known: dict[str, bytes] = {}  # by the word after a space
         self.ends = {mark: self._ids([mark])[0] for mark in ",."}
+        size = self.tok.get_vocab_size()
+        # the byte-level alphabet writes a space as U+0120, and no other byte
+        self.spaced = np.array([(self.tok.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -68,7 +74,16 @@ class WordIds:
         known = self.known
         stems = {w[:-1] if w[-1] in self.ends and w[-2:-1].isalpha() else w for w in new}
         stems = [w for w in stems if w not in known]
-        known.update(zip(stems, self._ids([" " + w for w in stems])))
+        for at in range(0, len(stems), JOINED_WORDS):
+            part = stems[at:at + JOINED_WORDS]
+            # encoded as one text; a word begins at each id that begins with a space
+            ids = np.array(self.tok.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            starts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
+            if len(starts) == len(part):
+                data = ids.tobytes()
+                known.update(zip(part, [data[a:b] for a, b in zip(starts, [*starts[1:], len(data)])]))
+            else:
+                known.update(zip(part, self._ids([" " + w for w in part])))
         for w in new:
             if w not in known:
                 known[w] = known[w[:-1]] + self.ends[w[-1]]
