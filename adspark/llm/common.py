@@ -104,7 +104,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .filter("a <> b").distinct())
+                 .filter("a <> b"))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select("a", "b", "m")
         e = materialize(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -44,7 +44,7 @@ TREES = 16
 DEPTH = 6
 LEAST_DEPTH = 3          # a pair at the threshold is missed here with chance 2e-5
 TARGET = 0.9999
-BLOCK_TEXTS = 1024       # texts and characters of a block of members, about
+BLOCK_TEXTS = 2048       # texts and characters of a block of members, about
 BLOCK_CHARS = 8 << 20
 COLUMNS = 1 << 12        # shingles multiplied at a time
 
