@@ -33,11 +33,11 @@ def money_units(total) -> Column:
 
 def round_ratio(num, den, digits: int = 2) -> Column:
     """round(num / den, digits) for integer num and integer den > 0; NULL otherwise."""
+    wide = DecimalType(20, 0)
     num, den = _c(num).cast("bigint"), _c(den).cast("bigint")
     scale = 10 ** digits
-    x = F.abs(num) * F.lit(2 * scale) + den
-    d = den * F.lit(2)
-    q = ((x - F.pmod(x, d)) / d).cast("bigint")  # exact integer quotient
+    x = F.abs(num.cast(wide)) * F.lit(2 * scale).cast(wide) + den.cast(wide)
+    q = F.call_function("div", x, den.cast(wide) * F.lit(2).cast(wide))  # exact integer quotient
     return F.when(den > 0, F.signum(num) * q / F.lit(float(scale)))
 
 

@@ -23,6 +23,9 @@ __all__ = [
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
              "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
              "nan", "null"]
+# Text that it reads as booleans.
+TRUE_TOKENS = ["True", "TRUE", "true"]
+FALSE_TOKENS = ["False", "FALSE", "false"]
 # Allowed user genders (users table enum); anything else becomes "Other".
 GENDERS = ["Male", "Female", "Non-Binary", "Other", "Prefer not to say"]
 # Allowed impression devices (ad_impressions enum).
@@ -33,6 +36,9 @@ AGE_RANGE_PATTERN = r"Age\s+(\d+)-(\d+)"
 UNKNOWN_CATEGORY = "Unknown"
 # -----------------------------------------------------------------------------------
 
+# a time of day followed by Z or a numeric offset
+OFFSET_PATTERN = r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*(Z|[+-]\d{1,2}(:?\d{2})?)$"
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -57,8 +63,11 @@ def na_to_null(c) -> Column:
 
 
 def lenient_timestamp(c) -> Column:
-    """Text to TIMESTAMP_NTZ (wall clock, UTC by convention); bad text -> NULL."""
-    return _c(c).try_cast("timestamp_ntz")
+    """Text to TIMESTAMP_NTZ (wall clock, UTC by convention); bad text -> NULL.  Text
+    with an offset is moved to UTC by it."""
+    c = _c(c)
+    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.when(c.rlike(OFFSET_PATTERN), moved).otherwise(c.try_cast("timestamp_ntz"))
 
 
 def lenient_decimal(c, precision: int = 12, scale: int = 4) -> Column:
@@ -67,7 +76,10 @@ def lenient_decimal(c, precision: int = 12, scale: int = 4) -> Column:
 
 
 def lenient_int(c) -> Column:
-    return _c(c).try_cast("int")
+    """Text to INT; a number with a zero fraction (``123.0``) counts, any other bad text -> NULL."""
+    c = _c(c)
+    wide = c.try_cast(DecimalType(20, 6))
+    return F.coalesce(c.try_cast("int"), F.when(wide == F.floor(wide), wide.try_cast("int")))
 
 
 def lenient_double(c) -> Column:
@@ -75,9 +87,9 @@ def lenient_double(c) -> Column:
 
 
 def to_bool(c) -> Column:
-    """C5: 'True' / 'False' to boolean, anything else NULL."""
+    """The reader's spellings of true and false to boolean, anything else NULL."""
     c = _c(c)
-    return F.when(c == "True", F.lit(True)).when(c == "False", F.lit(False))
+    return F.when(c.isin(TRUE_TOKENS), F.lit(True)).when(c.isin(FALSE_TOKENS), F.lit(False))
 
 
 def blank_to_null(c) -> Column:
@@ -130,7 +142,7 @@ def iso_or_epoch(c) -> Column:
     micros = (c.try_cast("double") * F.lit(1_000_000)).try_cast("bigint")
     epoch = F.expr("timestampadd(MICROSECOND, 0, TIMESTAMP_NTZ'1970-01-01 00:00:00')")
     from_epoch = F.timestamp_add("MICROSECOND", micros, epoch)
-    return F.coalesce(c.try_cast("timestamp_ntz"), from_epoch)
+    return F.coalesce(lenient_timestamp(c), from_epoch)
 
 
 def action_label(clicked) -> Column:

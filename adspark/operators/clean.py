@@ -16,8 +16,9 @@ from adspark.functions.parsing import (
 )
 from adspark.operators.keys import keep_one
 
-MONEY = (8, 4)     # bid / cost / revenue
-BUDGET = (12, 2)   # budget / remaining budget
+# wide enough that cleaning drops no amount; a relational table's narrower columns are a matter of its own checks
+MONEY = (18, 4)    # bid / cost / revenue
+BUDGET = (18, 2)   # budget / remaining budget
 
 
 def null_tokens(df: DataFrame) -> DataFrame:

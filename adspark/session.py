@@ -17,6 +17,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes with its last reader
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -122,22 +122,46 @@ def manifest_counts(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/_manifest").select("table", "rows")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked of its own file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_col: str,
                       seq_col: str = "load_seq") -> None:
     """B4 as a write: merge ``batch`` into the partitioned Parquet table at ``path``,
     last write wins per ``key``, rewriting only the partitions the batch touches
-    (dynamic partition overwrite).  The merged rows are checkpointed before the
-    overwrite, since the job reads the partitions it replaces."""
+    (dynamic partition overwrite).
+
+    Inside a batch the row with the largest ``seq_col`` wins; a batch without that column
+    must not repeat a key.  A stored key that the batch moves to another partition leaves
+    its old one, which is rewritten too.  Only an absent path counts as a first load: any
+    failure to read an existing table rises and leaves it as it was.  The merged rows are
+    checkpointed before the overwrite, since the job reads the partitions it replaces."""
+    from adspark.operators.keys import keep_one
     from adspark.operators.merge import upsert_latest
     from adspark.session import materialize
 
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first load: nothing to merge with
-        write_table(batch, path, partition_by=[partition_col])
+    if seq_col in batch.columns:
+        batch = keep_one(batch, key, [seq_col], last=True).drop(seq_col)
+    elif not batch.groupBy(*key).count().where("count > 1").isEmpty():
+        raise ValueError(f"the batch repeats a key of {key} and has no {seq_col} to decide by")
+    if not path_exists(spark, path):
+        batch.write.mode("errorifexists").partitionBy(partition_col).parquet(path)
         return
-    touched = batch.select(partition_col).distinct()
-    current = existing.join(F.broadcast(touched), partition_col, "left_semi")  # one row per touched partition
+    existing = spark.read.parquet(path).select(*batch.columns)
+    batch = materialize(batch)
+    touched = batch.select(partition_col)
+    if partition_col not in key:  # partitions that hold a key of the batch now
+        touched = touched.union(existing.join(batch.select(*key), key, "left_semi").select(partition_col))
+    touched = touched.distinct()  # one row per touched partition
+    current = existing.join(F.broadcast(touched), partition_col, "left_semi")
     merged = materialize(upsert_latest(current.select(*batch.columns), batch, key, seq_col))
+    emptied = touched.join(F.broadcast(merged.select(partition_col).distinct()), partition_col, "left_anti").collect()
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
+    for row in emptied:  # every key of the partition moved away: nothing was written over it
+        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else str(row[0])
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
