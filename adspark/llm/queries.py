@@ -27,4 +27,5 @@ ORACLE = {
     "op1_pivot_topk": topk.ORACLE,
     "op4_host_quality": quality.ORACLE,
     "op5_site_lines": linededup.ORACLE,
+    "op7_warc_zstd": warc.ORACLE,
 }

@@ -226,3 +226,12 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     path = fresh_path(spark, "warc")
     write_warc(pages, path)
     return read_warc(spark, path, payload=False).drop("payload", "target_uri")
+
+
+ORACLE = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT *, CAST(strlen(h) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS m FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= {MIN_SHARED} AND m IS DISTINCT FROM page_id THEN m END AS refers_to FROM q)
+SELECT page_id, payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM r
+"""
