@@ -3,6 +3,7 @@ broadcasts, sorted-run streaming and connected components."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,7 +20,7 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 << 20
 
 __all__ = ["WS", "documents", "embeddings", "pages", "map_rows", "sorted_runs", "materialize", "fresh_path",
-           "small_enough", "connected_components", "sql_lit"]
+           "small_enough", "connected_components", "release", "sql_lit"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,14 @@ def small_enough(df: DataFrame, width: Column, max_rows: int = BROADCAST_ROWS, m
     return n <= max_rows and (size or 0) <= max_bytes
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files and checkpoints that nothing refers to
+    any more.  It acts when the driver collects garbage, which an idle driver may not do
+    for half an hour; an iterative job would keep the files of every past round."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def sql_lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -95,20 +104,25 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     smallest node it sees.  The per-node minimum is an aggregate with map-side combine, so
     a node with very many neighbours is not gathered anywhere; the join back on that node
     is an ordinary shuffle join, which AQE splits when it is skewed.  Each round is
-    materialised in the shared folder; the loop ends when a round changes no edge.
+    materialised in the shared folder and the files of the one before are released; the
+    loop ends when a round changes no edge.
     """
-    e = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                    .distinct())
-    seen = None
-    for _ in range(max_rounds):
+    def one_round(e: DataFrame) -> DataFrame:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = (both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .filter("a <> b"))
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select("a", "b", "m")
-        e = materialize(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                        .union(down.select("a", F.col("m").alias("b"))).distinct())
+        return materialize(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                           .union(down.select("a", F.col("m").alias("b"))).distinct())
+
+    e = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                    .distinct())
+    seen = None
+    for _ in range(max_rounds):
+        e = one_round(e)
+        release(e.sparkSession)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == tuple(now):
             break

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspark.llm.common import arrow_schema, connected_components, map_rows, materialize, small_enough, sorted_runs
+from adspark.llm.common import arrow_schema, connected_components, map_rows, materialize, release, small_enough, sorted_runs
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -156,6 +156,7 @@ def candidate_stars(sigs: DataFrame, threshold: float = THRESHOLD, target: float
     """Stars at the longest prefix whose estimated recall reaches the target."""
     for depth in range(DEPTH, LEAST_DEPTH - 1, -1):
         found = materialize(stars(sigs, depth))
+        release(found.sparkSession)
         if depth == LEAST_DEPTH:
             return found
         got = stands = 0.0
@@ -269,6 +270,7 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARG
         wanted = F.broadcast(wanted)
     texts = rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
     links = materialize(verified_links(components, texts, threshold))
+    release(links.sparkSession)
     roots = connected_components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))
     of = (classes.select("key", "copies", "copy_id").join(counts, "key", "left")
