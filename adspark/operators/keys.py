@@ -6,44 +6,60 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from adspark.session import materialize
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 8 << 20  # below Spark's own 10 MB auto-broadcast bound
+DEFAULT_BROADCAST_BYTES = 64 << 10    # compressed: a thousandfold of it in memory is still the bound below
+DEFAULT_BROADCAST_MEMORY = 64 << 20   # bytes of the rows themselves
+MEASURED_BYTES = 64 << 20             # beyond this estimate no job is run to find out
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (no job).  For file scans it is the
-    file size carried through filters, projections and aggregates, an upper bound of
-    the rows kept; ``None`` where the estimate cannot be read."""
+    """The optimizer's size estimate of ``df`` (no job).  For file scans it comes from the
+    size of the (compressed) files; ``None`` where the estimate cannot be read."""
     try:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # e.g. a Spark Connect session
         return None
 
 
-def broadcastable(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                  max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row in memory: the text or bytes of wide columns, 8 for others."""
+    width = F.lit(8)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            c = c.cast("string")
+        if isinstance(f.dataType, (StringType, BinaryType, ArrayType, MapType, StructType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0))
+        width = width + 8
+    return width.cast("bigint")
+
+
+def broadcastable(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                  max_memory: int = DEFAULT_BROADCAST_MEMORY) -> bool:
     """True when ``df`` is proven small: the optimizer's estimate (no job) is at most
-    ``max_bytes``, or else an exact count is at most ``max_rows``."""
+    ``max_bytes``, or else its exact count is at most ``max_rows`` and its rows take at
+    most ``max_memory``.  With an estimate above ``MEASURED_BYTES`` it is not, unmeasured."""
     est = estimated_bytes(df)
     if est is not None and est <= max_bytes:
         return True
-    return df.count() <= max_rows
-
+    if est is not None and est > MEASURED_BYTES:
+        return False
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return n <= max_rows and (size or 0) <= max_memory
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                    max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only when ``df`` is proven small.
 
-    First the optimizer's size estimate (no job): at most ``max_bytes`` -> broadcast.
-    Otherwise an exact row count decides against ``max_rows``.  Above both bounds the
-    plain DataFrame is returned and the join stays a shuffle join (AQE may still turn
-    it into a broadcast at run time from real shuffle sizes).
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                    max_memory: int = DEFAULT_BROADCAST_MEMORY) -> DataFrame:
+    """Hint a broadcast only when ``df`` is proven small (``broadcastable``).  Above the
+    bounds the plain DataFrame is returned and the join stays a shuffle join (AQE may still
+    turn it into a broadcast at run time from real shuffle sizes).
     """
-    return F.broadcast(df) if broadcastable(df, max_rows, max_bytes) else df
+    return F.broadcast(df) if broadcastable(df, max_rows, max_bytes, max_memory) else df
 
 
 def dense_ids(df: DataFrame, order_by: list, id_col: str, start: int = 1) -> DataFrame:

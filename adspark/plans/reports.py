@@ -181,18 +181,18 @@ def advertiser_total_spend(star: dict, advertiser_id: int | None = None) -> Data
 
 
 def user_engagements(star: dict, user_id: int | None = None) -> DataFrame:
-    """Clicked impressions with advertiser, newest click first (an unknown user gives
-    an empty frame)."""
+    """Clicked impressions with advertiser; for one user newest click first (an unknown
+    user gives an empty frame), for all users unsorted."""
     j = window_impressions(star, None, None, ["impression_id", "campaign_id", "user_id", "impression_timestamp",
                                               "click_id", "click_timestamp"], with_clicks=True) \
         .where(F.col("click_id").isNotNull())
     if user_id is not None:
         j = j.where(F.col("user_id") == F.lit(user_id))
     j = j.join(sized_broadcast(star["campaigns"].select("campaign_id", "advertiser_id")), "campaign_id")
-    return j.select("user_id", "advertiser_id", "campaign_id", "impression_id", "click_id",
-                    F.col("impression_timestamp").alias("impression_time"),
-                    F.col("click_timestamp").alias("click_time")) \
-        .orderBy(F.desc("click_time"), "click_id")
+    out = j.select("user_id", "advertiser_id", "campaign_id", "impression_id", "click_id",
+                   F.col("impression_timestamp").alias("impression_time"),
+                   F.col("click_timestamp").alias("click_time"))
+    return out if user_id is None else out.orderBy(F.desc("click_time"), "click_id")
 
 
 def sql_report(star: dict, start: str, end: str) -> dict[str, DataFrame]:

@@ -9,6 +9,7 @@ impressions and clicks from ``events``, users from ``customer``.  Dense ids are
 from __future__ import annotations
 
 START, END, AS_OF, DAY = "2024-01-01", "2024-01-30", "2024-01-30", "2024-01-11"
+ONE = {"campaign_id": 11, "advertiser_id": 3, "user_id": 7}  # of the lookups by id
 
 
 def rr(num: str, den: str, digits: int = 2) -> str:
@@ -348,3 +349,10 @@ _SECTIONS = [
 ]
 ORACLE["report_sections"] = " UNION ALL ".join(
     f"SELECT '{title}' AS section, COUNT(*) AS rows FROM ({ORACLE[key]})" for title, key in _SECTIONS)
+
+# lookups by id: the same questions for one entity
+for _one, _all, _id in (("campaign_performance_one", "campaign_performance", "campaign_id"),
+                        ("advertiser_spend_one", "advertiser_total_spend", "advertiser_id"),
+                        ("user_engagements_one", "user_engagements", "user_id"),
+                        ("last_ads_one", "last_ads_seen", "user_id")):
+    ORACLE[_one] = f"SELECT * FROM ({ORACLE[_all]}) t WHERE {_id} = {ONE[_id]}"

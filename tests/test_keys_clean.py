@@ -32,6 +32,15 @@ def test_sized_broadcast_bound(spark):
     assert "broadcast" in plan_small and "broadcast" not in plan_big
 
 
+def test_sized_broadcast_counts_bytes(spark):
+    wide = spark.range(50).selectExpr("id", "repeat('x', 100000) AS t")  # few rows, 5 MB of text
+    hinted = lambda df: "resolvedhint" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(sized_broadcast(wide, max_bytes=0))
+    assert not hinted(sized_broadcast(wide, max_bytes=0, max_memory=1_000_000))
+    large = spark.range(1 << 24)  # an estimate of 128 MB is not even counted
+    assert not hinted(sized_broadcast(large, max_rows=1 << 30, max_memory=1 << 40))
+
+
 def _raw_event(eid, ts, cost="1.5", clicked="False", click_ts=None, campaign="Campaign_1"):
     row = dict.fromkeys(RAW_EVENT_COLUMNS)
     row.update(EventID=eid, AdvertiserName=" Adv ", CampaignName=campaign, UserID="7", Device="Mobile",
