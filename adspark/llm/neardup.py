@@ -13,9 +13,10 @@ Candidates are never listed as pairs.  Under a prefix every class points to the
 candidates, and each component is verified whole: its members are cut into blocks of bounded
 size, and block pairs are dealt to tasks, where exact Jaccard similarities of all pairs come
 from products of class x shingle incidence matrices.  A block pair returns a row per member
-(how many documents and texts it links to, and the smallest member it is linked with), so
-neither pairs nor a group's members meet in one place.  A last components run over these
-links gives the classes of near duplicates.
+(how many documents and texts it links to, and the smallest member that its links inside
+the block pair connect it with), so neither pairs nor a group's members meet in one place
+and no connection is lost.  A last components run over these rows gives the classes of near
+duplicates.
 
 The result has a row per input row: ``doc_id, class_id`` (smallest doc_id that the links
 connect, copies included), ``copy_id`` (smallest doc_id of equal words), ``n_links`` (other
@@ -199,8 +200,29 @@ def _incidence(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
 LINKED = "key binary, docs bigint, texts bigint, root binary"
 
 
+def _components(link: np.ndarray, inside: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Component numbers of the rows and columns of a link matrix, which are the same members
+    ``inside`` a block; -1 without a link.  Every row and column is read once."""
+    of_row, of_col = np.full(link.shape[0], -1), np.full(link.shape[1], -1)
+    if inside:
+        of_col = of_row
+    for start in np.flatnonzero(link.any(axis=1)):
+        if of_row[start] >= 0:
+            continue
+        of_row[start], rows = start, np.array([start])
+        while len(rows):
+            cols = np.flatnonzero(link[rows].any(axis=0) & (of_col < 0))
+            of_col[cols] = start
+            if inside:
+                rows = cols
+            else:
+                rows = np.flatnonzero(link[:, cols].any(axis=1) & (of_row < 0))
+                of_row[rows] = start
+    return of_row, of_col
+
+
 def _linked(run: list[dict], threshold: float) -> Iterator[tuple]:
-    """Links inside a block pair: ``(key, documents, texts, smallest linked key)``."""
+    """Links inside a block pair: ``(key, documents, texts, smallest key of its component)``."""
     low, high = [r for r in run if not r["side"]], [r for r in run if r["side"]]
     sets = {r["key"]: shingles(r["words"].split(" ")) for r in run}
     inside = run[0]["low"] == run[0]["high"]
@@ -214,14 +236,17 @@ def _linked(run: list[dict], threshold: float) -> Iterator[tuple]:
     if inside:
         np.fill_diagonal(link, False)
     copies_a, copies_b = np.array([r["copies"] for r in low]), np.array([r["copies"] for r in other])
-    for rows, cols, hits, copies in ((low, other, link, copies_b), (other, low, link.T, copies_a))[:1 if inside else 2]:
-        keys = [r["key"] for r in cols]
-        rank = np.argsort(np.argsort(np.array([k.hex() for k in keys])))
-        by_rank = {int(x): k for x, k in zip(rank, keys)}
+    of_a, of_b = _components(link, inside)
+    sides = ((low, of_a, link, copies_b), (other, of_b, link.T, copies_a))[:1 if inside else 2]
+    least: dict[int, bytes] = {}
+    for rows, of, _, _ in sides:
+        for r, c in zip(rows, of.tolist()):
+            if c >= 0:
+                least[c] = min(least.get(c, r["key"]), r["key"])
+    for rows, of, hits, copies in sides:
         texts, docs = hits.sum(axis=1), hits @ copies
-        least = np.where(hits, rank[None, :], len(keys)).min(axis=1)
         for k in np.flatnonzero(texts):
-            yield rows[k]["key"], int(docs[k]), int(texts[k]), by_rank[int(least[k])]
+            yield rows[k]["key"], int(docs[k]), int(texts[k]), least[int(of[k])]
 
 
 def verified_links(components: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:

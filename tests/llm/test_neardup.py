@@ -106,6 +106,43 @@ def test_many_blocks(spark, monkeypatch):
     compare(spark, corpus(7, groups=4, size=40))
 
 
+def chains(n, length=6, words=80, step=5, seed=11):
+    """Texts that are linked with the next of their chain alone; their keys' order is random."""
+    r = random.Random(seed)
+    rows = []
+    for c in range(n):
+        line = [f"c{c}x{r.randrange(10**9)}" for _ in range(words + step * (length - 1))]
+        rows += [" ".join(line[step * k:step * k + words]) for k in range(length)]
+    return rows
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 3])
+def test_block_pairs_keep_chains_whole(blocks):
+    r = random.Random(blocks)
+    texts = chains(1)
+    for _ in range(60):
+        keys = r.sample(range(256), len(texts))
+        rows = [{"key": bytes([k]), "copies": 1, "words": t, "at": r.randrange(blocks)} for k, t in zip(keys, texts)]
+        class_of, n_texts = {x["key"]: x["key"] for x in rows}, defaultdict(int)
+        for low in range(blocks):
+            for high in range(low, blocks):
+                run = [{**x, "low": low, "high": high, "side": x["at"] == high != low} for x in rows if x["at"] in (low, high)]
+                for key, _, n, root in neardup._linked(run, 0.8) if run else ():
+                    n_texts[key] += n
+                    old, new = class_of[key], class_of[root]
+                    class_of = {k: new if c == old else c for k, c in class_of.items()}
+        assert len(set(class_of.values())) == 1
+        assert sorted(n_texts.values()) == [1, 1] + [2] * (len(texts) - 2)
+
+
+@pytest.mark.parametrize("block_texts", [2048, 2])
+def test_chains_stay_one_class(spark, monkeypatch, block_texts):
+    monkeypatch.setattr(neardup, "BLOCK_TEXTS", block_texts)
+    texts = chains(40)
+    got = compare(spark, list(enumerate(texts)))
+    assert len({r["class_id"] for r in got}) == 40
+
+
 def test_recall_on_the_test_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     want = sorted(brute([(r["doc_id"], r["text"]) for r in table.collect()]), key=repr)
