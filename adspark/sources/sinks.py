@@ -128,6 +128,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _same_rows(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A semi or anti join on columns in which null equals null."""
+    other = right.select(*[F.col(c).alias(f"__{c}") for c in on])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in on]
+    return left.join(other, same, how)
+
+
 def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: list[str], partition_col: str,
                       seq_col: str = "load_seq") -> None:
     """B4 as a write: merge ``batch`` into the partitioned Parquet table at ``path``,
@@ -137,8 +144,9 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: lis
     Inside a batch the row with the largest ``seq_col`` wins; a batch without that column
     must not repeat a key.  A stored key that the batch moves to another partition leaves
     its old one, which is rewritten too.  Only an absent path counts as a first load: any
-    failure to read an existing table rises and leaves it as it was.  The merged rows are
-    checkpointed before the overwrite, since the job reads the partitions it replaces."""
+    failure to read an existing table rises and leaves it as it was.  Null is a partition
+    and a key value like any other.  The merged rows are checkpointed before the overwrite,
+    since the job reads the partitions it replaces."""
     from adspark.operators.keys import keep_one
     from adspark.operators.merge import upsert_latest
     from adspark.session import materialize
@@ -154,11 +162,12 @@ def upsert_partitions(spark: SparkSession, path: str, batch: DataFrame, key: lis
     batch = materialize(batch)
     touched = batch.select(partition_col)
     if partition_col not in key:  # partitions that hold a key of the batch now
-        touched = touched.union(existing.join(batch.select(*key), key, "left_semi").select(partition_col))
+        touched = touched.union(_same_rows(existing, batch, key, "left_semi").select(partition_col))
     touched = touched.distinct()  # one row per touched partition
-    current = existing.join(F.broadcast(touched), partition_col, "left_semi")
+    current = _same_rows(existing, F.broadcast(touched), [partition_col], "left_semi")
     merged = materialize(upsert_latest(current.select(*batch.columns), batch, key, seq_col))
-    emptied = touched.join(F.broadcast(merged.select(partition_col).distinct()), partition_col, "left_anti").collect()
+    left = merged.select(partition_col).distinct()
+    emptied = _same_rows(touched, F.broadcast(left), [partition_col], "left_anti").collect()
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(partition_col).parquet(path)
     for row in emptied:  # every key of the partition moved away: nothing was written over it

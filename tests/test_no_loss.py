@@ -70,6 +70,17 @@ def test_upsert_reduces_every_batch_and_moves_keys(spark, tmp_dir):
         upsert_partitions(spark, path, batch(spark, [(9, "a", 1, 1), (9, "b", 1, 2)]).drop("load_seq"), ["k"], "day")
 
 
+def test_upsert_keeps_null_partitions_and_keys(spark, tmp_dir):
+    path, schema = tmp_dir + "/t", "k int, v string, day int, load_seq int"
+    rows = lambda: sorted(map(tuple, spark.read.parquet(path).select("k", "v", "day").collect()), key=repr)
+    put = lambda *r: upsert_partitions(spark, path, spark.createDataFrame(list(r), schema), ["k"], "day")
+    put((1, "a", None, 1), (2, "b", None, 1), (3, "c", 1, 1), (None, "n", 2, 1), (7, "g", 2, 1))
+    put((2, "B", None, 1), (4, "d", None, 1), (None, "N", 1, 1))  # the null key leaves partition 2
+    assert rows() == sorted([(1, "a", None), (2, "B", None), (4, "d", None), (3, "c", 1), (None, "N", 1), (7, "g", 2)], key=repr)
+    put((1, "a", 1, 1), (2, "b", 1, 1), (4, "d", 1, 1))  # all leave the null partition
+    assert rows() == sorted([(1, "a", 1), (2, "b", 1), (4, "d", 1), (3, "c", 1), (None, "N", 1), (7, "g", 2)], key=repr)
+
+
 def test_a_failing_read_leaves_the_table_alone(spark, tmp_dir):
     path = tmp_dir + "/t"
     upsert_partitions(spark, path, batch(spark, [(1, "a", 1, 1), (2, "b", 1, 1)]), ["k"], "day")
