@@ -2,9 +2,9 @@
 
 Pages (documents) are grouped by host (``source``).  For every line, trimmed, the number of
 the host's pages that contain it is divided by the host's page total; lines above ``RATIO``
-that stand on at least ``MIN_PAGES`` pages are boilerplate and go from the host's pages.  A
-page that would lose more than ``MAX_LOSS`` of its characters is a copy of other pages, not
-a page in a frame; it stays whole, for copy removal to handle.
+that stand on at least ``MIN_PAGES`` pages are boilerplate and go from the host's pages,
+whatever share of a page they are.  Only a page without any other line is a copy of other
+pages, not a page in a frame; it stays whole, for copy removal to handle.
 
 Only 64-bit line hashes travel: distinct per page first, counted by (host, line) with
 map-side combine, so a hot host is spread over its lines.  A host has at most (lines per
@@ -26,7 +26,7 @@ from adspark.llm.common import materialize, small_enough
 
 RATIO = 0.1
 MIN_PAGES = 5
-MAX_LOSS = 0.5
+MAX_LOSS = 0.5           # of the oracle alone: it still spares pages that lose more
 SALTS = 64
 
 _WS = "' \\t\\n\\u000B\\u000C\\r'"
@@ -45,7 +45,7 @@ def boilerplate(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGE
             .groupBy("host").agg(F.sort_array(F.collect_list("line")).alias("hashes")))
 
 
-def drop_site_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, max_loss: float = MAX_LOSS,
+def drop_site_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES,
                     counts: bool = False) -> DataFrame:
     """``docs`` with the boilerplate lines of their hosts gone from ``text``; ``counts``
     adds ``n_lines`` (lines with a word) and ``n_dropped``."""
@@ -61,8 +61,7 @@ def drop_site_lines(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_
     kept = F.expr(f"CASE WHEN __drop IS NOT NULL THEN array_join(filter(split(text, '\\n'), x -> {blank} OR "
                   f"NOT array_contains(__drop, xxhash64(btrim(x, {_WS})))), '\\n') ELSE text END")
     out = joined.withColumn("__cut", kept).withColumn(
-        "__text", F.when(F.length("__cut") < F.length("text") * F.lit(1 - max_loss), F.col("text"))
-        .otherwise(F.col("__cut")))
+        "__text", F.when(F.expr(f"btrim(__cut, {_WS}) = ''"), F.col("text")).otherwise(F.col("__cut")))
     n_lines = f"size(filter(split(%s, '\\n'), x -> NOT {blank}))"
     if counts:
         out = (out.withColumn("__n", F.coalesce(F.expr(n_lines % "text"), F.lit(0)).cast("bigint"))

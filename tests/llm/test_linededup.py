@@ -43,6 +43,14 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert out.columns == table.columns and {r["slot"] for r in out.collect()} == {"clash"}
 
 
+def test_frames_go_from_short_pages_too(spark):
+    frame = "Home | About | Contact | a frame that is much longer than the pages in it"
+    rows = [(i, f"{frame}\npage {i}\n{frame} ", None, "h", None) for i in range(20)]
+    rows += [(100 + i, f"{frame}\n\n", None, "h", None) for i in range(5)]  # nothing of their own: copies
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_dropped"]) for r in linededup.op5(docs(spark, rows)).collect()}
+    assert got == {i: (f"page {i}", 3, 2) if i < 100 else (t, 1, 0) for i, t, *_ in rows}
+
+
 def test_salted_join(spark, monkeypatch):
     rows = site() + AWKWARD
     want = sorted(map(tuple, linededup.op5(docs(spark, rows)).collect()), key=repr)
