@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adspark.llm import bpe, langid, linededup, neardup, packing, quality, secrets, sharding, topk, warc
+from adspark.llm import bpe, langid, linededup, neardup, packing, quality, secrets, sharding, spans, topk, warc
 from adspark.llm.common import documents, embeddings, pages
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCAB = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES = {
     "op1_pivot_topk": lambda s, d: topk.op1(embeddings(s, d)),
@@ -21,6 +22,7 @@ QUERIES = {
     "op8_secret_scan": lambda s, d: secrets.scan(documents(s, d)),
     "op9_jump_shards": lambda s, d: sharding.shard_documents(documents(s, d)),
     "op10_jaccard_join": lambda s, d: neardup.near_duplicates(documents(s, d)),
+    "op13_piece_spans": lambda s, d: spans.encode_documents(documents(s, d), PIECE_MODEL, digests=True),
 }
 
 ORACLE = {
