@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from adspark.llm import bpe, langid, linededup, neardup, packing, quality, secrets, sharding, spans, topk, variants, warc
+from adspark.llm import bpe, langid, linededup, neardup, packing, phrases, quality, secrets, sharding, spans, topk, variants, warc
 from adspark.llm.common import documents, embeddings, pages
 
 BYTE_VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_jump_shards": lambda s, d: sharding.shard_documents(documents(s, d)),
     "op10_jaccard_join": lambda s, d: neardup.near_duplicates(documents(s, d)),
     "op11_spelling_variants": lambda s, d: variants.group_variants(documents(s, d)),
+    "op12_phrase_mining": lambda s, d: phrases.mine(documents(s, d)),
     "op13_piece_spans": lambda s, d: spans.encode_documents(documents(s, d), PIECE_MODEL, digests=True),
 }
 
@@ -31,4 +32,5 @@ ORACLE = {
     "op4_host_quality": quality.ORACLE,
     "op5_site_lines": linededup.ORACLE,
     "op7_warc_zstd": warc.ORACLE,
+    "op12_phrase_mining": phrases.ORACLE,
 }
