@@ -12,7 +12,7 @@ Proposals are kept as bitmaps over a hash (``FILTER_BITS`` bits each, so what is
 has a fixed size).  A false positive only makes a pass count more; what an earlier pass has
 counted is decided by the same bitmaps, so nothing counts twice.
 
-A task counts with numpy over blocks of at most ``BLOCK_WORDS`` words (a longer text is a
+A task counts with numpy over blocks of about ``BLOCK_CHARS`` characters (a longer text is a
 block of its own) and sends each distinct phrase of a block once; Spark adds these up, so a
 phrase or language with a third of all words arrives as one row a block.
 
@@ -41,12 +41,12 @@ TOP = 2000             # phrases reported for a language
 SAMPLE = 16            # one document in so many proposes
 SAMPLE_COUNT = 2       # occurrences there that propose a phrase
 FILTER_BITS = 1 << 26  # bits of a bitmap of proposals (8 MB)
-BLOCK_WORDS = 4_000_000
-BLOCK_VOCABULARY = 1 << 20  # so that three words fit in 63 bits
+BLOCK_CHARS = 8_000_000
 
 BREAK = b"."           # stands for any of the characters that end a piece
-# fixed values: A-Z to a-z, the ends of pieces to one of them
-_TABLE = bytes(c + 32 if 65 <= c <= 90 else ord(BREAK) if chr(c) in ".,;:!?\n\x0b\x0c\r" else c for c in range(256))
+# fixed values: A-Z to a-z, tab to space, the ends of pieces to one of them
+_TABLE = bytes(c + 32 if 65 <= c <= 90 else 32 if c == 9 else ord(BREAK) if chr(c) in ".,;:!?\n\x0b\x0c\r" else c
+               for c in range(256))
 _PAIR = 1_000_003      # a pair's hash: the first word's times this, plus the second's
 
 _COUNTS = "lang string, phrase string, n bigint"
@@ -92,82 +92,75 @@ def propose(frequent: DataFrame, bits: int) -> Proposals:
                      bitmap(rows.filter("size(w) = 2"), pair, bits))
 
 
-class _Block:
-    """Words of texts as numbers, by language."""
+def _words(texts: list[str]) -> tuple[np.ndarray, pa.Array]:
+    """The words of texts in order as numbers, and the words; the end of a piece is ``BREAK``."""
+    data = np.frombuffer(("\n".join(texts) + "\n").encode().translate(_TABLE), dtype=np.uint8)
+    word, end = data != 32, data == ord(BREAK)
+    begins = word.copy()
+    begins[1:] &= ~word[:-1] | end[:-1] | end[1:]
+    places = np.cumsum(word, dtype=np.int64)[begins] - 1  # among the bytes without spaces
+    places = np.append(places, word.sum()).astype(np.int64)
+    kind, width = (pa.string(), np.int32) if len(data) < 1 << 31 else (pa.large_string(), np.int64)
+    found = pa.Array.from_buffers(kind, len(places) - 1, [None, pa.py_buffer(places.astype(width)),
+                                                          pa.py_buffer(data[word].tobytes())]).dictionary_encode()
+    return found.indices.to_numpy().astype(np.int64), found.dictionary.cast(pa.string())
 
-    def __init__(self):
-        self.number: dict[bytes, int] = {BREAK: 0}
-        self.codes: dict[str, list[np.ndarray]] = {}
-        self.size = 0
 
-    def add(self, lang: str, texts: list[str]) -> None:
-        words = (" " + "\n".join(texts) + "\n").encode().translate(_TABLE).replace(BREAK, b" . ").split()
-        number = self.number
-        for w in set(words).difference(number):
-            number[w] = len(number)
-        self.codes.setdefault(lang, []).append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
-        self.size += len(words)
-
-    @property
-    def full(self) -> bool:
-        return self.size >= BLOCK_WORDS or len(self.number) >= BLOCK_VOCABULARY // 2
-
-
-def _distinct(lang: str, words: pa.Array, keys: np.ndarray, k: int, shift: int) -> pa.RecordBatch:
-    """Counts of phrases of ``k`` words that are packed into integers."""
-    found, n = np.unique(keys, return_counts=True)
-    mask = (1 << shift) - 1
-    parts = [words.take(pa.array((found >> shift * (k - 1 - i)) & mask)) for i in range(k)]
-    phrase = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
+def _distinct(lang: str, phrases: list[pa.Array], n: np.ndarray) -> pa.RecordBatch:
+    phrase = pc.binary_join_element_wise(*phrases, " ") if len(phrases) > 1 else phrases[0]
     return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(n), np.int32))), phrase,
                                        pa.array(n, pa.int64())], schema=_COUNTS_ARROW)
 
 
-def _counts(block: _Block, now: Proposals | None, before: Proposals | None, bits: int) -> Iterator[pa.RecordBatch]:
-    """Counts of what ``now`` admits and ``before`` did not; with no proposals at all, of
-    every word and pair.  The empty phrase counts a language's words."""
-    shift = max(1, (len(block.number) - 1).bit_length())
-    if 3 * shift > 63:
-        raise ValueError("too many distinct words in a block")
-    names = list(block.number)
-    words = pa.array(names, pa.binary()).cast(pa.string())
-    for lang, runs in block.codes.items():
-        code = np.concatenate(runs)
-        real = code != 0
-        if before is None:
-            one = code[real]
-            if len(one):
-                yield _distinct(lang, words, one, 1, shift)
-                yield pa.RecordBatch.from_pylist([{"lang": lang, "phrase": "", "n": len(one)}], schema=_COUNTS_ARROW)
-        both = real[:-1] & real[1:]
-        if now is None:
-            pair, triple = both, None
-        else:
-            used = np.unique(code)
-            seed = zlib.crc32(f"{lang}\n".encode())
-            h = np.zeros(len(names), dtype=np.int64)
-            h[used] = [zlib.crc32(names[i], seed) for i in used.tolist()]
-            hashed = h[code]
-            joint = (hashed[:-1] * _PAIR + hashed[1:]) % bits
-
-            def admitted(p: Proposals) -> tuple[np.ndarray, np.ndarray]:
-                known = np.zeros(len(names), dtype=bool)
-                known[used] = _has(p.words, h[used] % bits)
-                word = known[code]
-                two = both & _has(p.pairs, joint)
-                return both & word[:-1] & word[1:], two[:-1] & two[1:]
-
-            pair, triple = admitted(now)
-            if before is not None:
-                old_pair, old_triple = admitted(before)
-                pair, triple = pair & ~old_pair, triple & ~old_triple
-        at = np.flatnonzero(pair)
+def _counts(lang: str, texts: list[str], now: Proposals | None, before: Proposals | None,
+            bits: int) -> Iterator[pa.RecordBatch]:
+    """Counts in a block's texts of what ``now`` admits and ``before`` did not; with no
+    proposals at all, of every word and pair.  The empty phrase counts a language's words."""
+    code, words = _words(texts)
+    stop = words.index(BREAK.decode()).as_py()
+    real = code != stop
+    if before is None:
+        one = np.bincount(code[real], minlength=len(words))
+        at = np.flatnonzero(one)
         if len(at):
-            yield _distinct(lang, words, (code[at] << shift) | code[at + 1], 2, shift)
-        if triple is not None:
-            at = np.flatnonzero(triple)
-            if len(at):
-                yield _distinct(lang, words, (((code[at] << shift) | code[at + 1]) << shift) | code[at + 2], 3, shift)
+            yield _distinct(lang, [words.take(pa.array(at))], one[at])
+            yield _distinct(lang, [pa.array([""])], np.array([real.sum()]))
+    both = real[:-1] & real[1:]
+    if now is None:
+        pair, triple = both, None
+    else:
+        seed = zlib.crc32(f"{lang}\n".encode())
+        h = np.array([zlib.crc32(w, seed) for w in words.cast(pa.binary()).to_pylist()], dtype=np.int64)
+        hashed = h[code]
+        joint = (hashed[:-1] * _PAIR + hashed[1:]) % bits
+        del hashed
+
+        def admitted(p: Proposals) -> tuple[np.ndarray, np.ndarray]:
+            word = _has(p.words, h % bits)[code]
+            two = both & _has(p.pairs, joint)
+            return both & word[:-1] & word[1:], two[:-1] & two[1:]
+
+        pair, triple = admitted(now)
+        if before is not None:
+            old_pair, old_triple = admitted(before)
+            pair, triple = pair & ~old_pair, triple & ~old_triple
+        del joint
+    shift = len(words).bit_length()  # two words fit in 62 bits
+    mask = (1 << shift) - 1
+    named = lambda numbers: words.take(pa.array(numbers))
+    at = np.flatnonzero(pair)
+    if len(at):
+        found, n = np.unique((code[at] << shift) | code[at + 1], return_counts=True)
+        yield _distinct(lang, [named(found >> shift), named(found & mask)], n)
+    at = np.flatnonzero(triple) if triple is not None else []
+    if len(at):
+        first = (code[at] << shift) | code[at + 1]
+        heads = None
+        if 3 * shift > 63:  # pairs are numbered first
+            heads, first = np.unique(first, return_inverse=True)
+        found, n = np.unique((first << shift) | code[at + 2], return_counts=True)
+        head = found >> shift if heads is None else heads[found >> shift]
+        yield _distinct(lang, [named(head >> shift), named(head & mask), named(found & mask)], n)
 
 
 def count_phrases(docs: DataFrame, now: Proposals | None, before: Proposals | None, least: int,
@@ -177,21 +170,24 @@ def count_phrases(docs: DataFrame, now: Proposals | None, before: Proposals | No
     shared = docs.sparkSession.sparkContext.broadcast((now, before))  # 4 bitmaps at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block()
+        block: dict[str, list[str]] = {}
+        size = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                by_lang: dict[str, list[str]] = {}
                 part = batch.slice(at, 256).to_pydict()
                 for lang, text in zip(part["lang"], part["text"]):
-                    by_lang.setdefault(lang, []).append(text)
-                for lang, texts in by_lang.items():
-                    block.add(lang, texts)
-                if block.full:
-                    yield from _counts(block, *shared.value, bits)
-                    block = _Block()
-        yield from _counts(block, *shared.value, bits)
-
-    return materialize(docs.mapInArrow(run, _COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+                    block.setdefault(lang, []).append(text)
+                    size += len(text)
+                if size >= BLOCK_CHARS:
+                    for lang, texts in block.items():
+                        yield from _counts(lang, texts, *shared.value, bits)
+                    block, size = {}, 0
+        for lang, texts in block.items():
+            yield from _counts(lang, texts, *shared.value, bits)
+
+    # a block's phrases are distinct already: no second summing before the shuffle
+    return materialize(docs.mapInArrow(run, _COUNTS).repartition("lang", "phrase")
+                       .groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
                        .filter(F.expr(f"n >= {least} OR phrase = ''")))
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 from adspark.llm import phrases
@@ -54,25 +55,21 @@ def test_any_sample_gives_the_same_whole_result(spark, settings):
     assert sorted(map(tuple, phrases.mine(table(spark, rows), **settings).collect())) == want
 
 
-def test_small_blocks_count_alike(spark, monkeypatch):
-    rows = texts(random.Random(4), 40)
-    found = phrases.mine(table(spark, rows))
-    block = phrases._Block
-    monkeypatch.setattr(phrases, "BLOCK_WORDS", 100)
-    full = phrases.Proposals(*[phrases.np.full(1 << 20, 255, dtype="uint8")] * 2)
+@pytest.mark.parametrize("wide", [False, True])
+def test_blocks_count_alike(spark, wide):
+    rows = [(a or "und", t) for a, t in texts(random.Random(4), 40)]
+    full = phrases.Proposals(*[np.full(1 << 20, 255, dtype="uint8")] * 2)
     total = Counter()
-    part = block()
-    for lang, text in [(a or "und", t) for a, t in rows]:
-        part.add(lang, [text])
-        if part.full:
-            for b in phrases._counts(part, full, None, 1 << 23):
-                for r in b.to_pylist():
-                    total[r["lang"], r["phrase"]] += r["n"]
-            part = block()
-    for b in phrases._counts(part, full, None, 1 << 23):
-        for r in b.to_pylist():
-            total[r["lang"], r["phrase"]] += r["n"]
-    assert all(total[r["lang"], r["phrase"]] == r["a"] for r in found.collect())
+    more = " ".join(f"v{i}" for i in range(1 << 21)) if wide else ""  # so many words that three do not fit in 63 bits
+    for k in range(0, len(rows), 7):
+        for lang in {r[0] for r in rows}:
+            block = [t for g, t in rows[k:k + 7] if g == lang]
+            for b in phrases._counts(lang, block + [more] * (k == 0), full, None, 1 << 23):
+                for phrase, n in zip(b["phrase"].to_pylist(), b["n"].to_pylist()):
+                    if not re.search("v[0-9]", phrase):
+                        total[lang, phrase] += n
+    found = phrases.mine(table(spark, rows)).collect()
+    assert found and all(total[r["lang"], r["phrase"]] == r["a"] for r in found)
 
 
 def test_ties_the_limit_and_products_past_64_bits(spark):
