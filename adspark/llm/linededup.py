@@ -26,7 +26,6 @@ from adspark.llm.common import materialize, small_enough
 
 RATIO = 0.1
 MIN_PAGES = 5
-MAX_LOSS = 0.5           # of the oracle alone: it still spares pages that lose more
 SALTS = 64
 
 _WS = "' \\t\\n\\u000B\\u000C\\r'"
@@ -93,7 +92,7 @@ c AS (
     count(*) FILTER (WHERE t.k <> '' AND bad.k IS NULL) AS m,
     coalesce(string_agg(t.x, chr(10) ORDER BY t.p) FILTER (WHERE bad.k IS NULL), '') AS cut
   FROM t LEFT JOIN bad ON t.source = bad.source AND t.k = bad.k GROUP BY t.r),
-e AS (SELECT d.*, n_lines, m, cut, length(cut) < length(text) * CAST({1 - MAX_LOSS} AS DOUBLE) AS whole FROM d LEFT JOIN c USING (r))
-SELECT doc_id, source, coalesce(n_lines, 0) AS n_lines, CASE WHEN whole THEN 0 ELSE coalesce(n_lines - m, 0) END AS n_dropped,
+e AS (SELECT d.*, n_lines, m, cut, coalesce(m, 0) = 0 AS whole FROM d LEFT JOIN c USING (r))
+SELECT doc_id, source, coalesce(n_lines, 0) AS n_lines, CASE WHEN whole THEN 0 ELSE n_lines - m END AS n_dropped,
   CASE WHEN whole THEN text ELSE cut END AS text FROM e
 """
