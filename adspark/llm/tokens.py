@@ -8,6 +8,7 @@ whole text; ``tests/llm`` compare them on odd Unicode and white space.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
@@ -22,6 +23,11 @@ CACHE_CHARS = 64        # longer words are encoded each time
 if array("I").itemsize != 4 or sys.byteorder != "little":
     raise RuntimeError("ids are taken as little-endian 32-bit numbers")
 
+# fixed value: how a byte-level pre-tokenizer cuts a text
+BYTE_LEVEL_CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# characters of which every Unicode version says the same
+_FAST = re.compile("[\x00-\u024f]*").fullmatch
+
 _PAIR = re.compile(r"\s\s|^\s|\s$")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _TOKENIZERS: dict = {}
@@ -39,6 +45,30 @@ def tokenizer(path: str):
     return _TOKENIZERS[path]
 
 
+def fast_merges(tok):
+    """A faster encoder with the same vocabulary, for ``_FAST`` texts without a special token: where the
+    merges of a byte-level BPE come in the order of their ids, merging by rank is the same."""
+    import tiktoken
+
+    spec = json.loads(tok.to_str())
+    model, cut = spec["model"], spec["pre_tokenizer"] or {}
+    pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model.get("merges", [])]
+    vocab = model["vocab"]
+    first = len(vocab) - len(pairs)
+    plain = (model["type"] == "BPE" and not any(model.get(k) for k in (
+        "dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        and spec["normalizer"] is None and cut.get("type") == "ByteLevel" and cut.get("use_regex", True)
+        and not cut.get("add_prefix_space") and first == 256
+        and all(vocab.get(a + b) == first + i for i, (a, b) in enumerate(pairs)))
+    if not plain:
+        return None
+    # the byte-level alphabet: printable Latin-1 bytes stand for themselves, the others follow from U+0100
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte_of = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(sorted(set(range(256)) - set(own)))}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items()}
+    return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_CUTS, mergeable_ranks=ranks, special_tokens={})
+
+
 def spaced_words(text: str) -> list[str]:
     """The text cut before single spaces between non-space characters; a cut there is
     always a cut of the byte-level pre-tokenizer.  Joined, the words give the text."""
@@ -60,6 +90,8 @@ class WordIds:
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
+        self.fast = fast_merges(self.tok)
+        self.special = [str(t) for t in self.tok.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}  # by the word after a space
         self.ends = {mark: self._ids([mark])[0] for mark in ",."}
         size = self.tok.get_vocab_size()
@@ -74,10 +106,17 @@ class WordIds:
         known = self.known
         stems = {w[:-1] if w[-1] in self.ends and w[-2:-1].isalpha() else w for w in new}
         stems = [w for w in stems if w not in known]
-        for at in range(0, len(stems), JOINED_WORDS):
-            part = stems[at:at + JOINED_WORDS]
+        odd = {w for w in stems if not w.isascii() and not _FAST(w)}
+        stems = [w for w in stems if w not in odd]
+        n_fast = len(stems)
+        stems += odd
+        for at in (*range(0, n_fast, JOINED_WORDS), *range(n_fast, len(stems), JOINED_WORDS)):
+            part = stems[at:min(at + JOINED_WORDS, n_fast if at < n_fast else len(stems))]
             # encoded as one text; a word begins at each id that begins with a space
-            ids = np.array(self.tok.encode(" " + " ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            text = " " + " ".join(part)
+            ids = np.array(self.fast.encode_ordinary(text)
+                           if self.fast and at < n_fast and not any(t in text for t in self.special) else
+                           self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
             starts = (4 * np.flatnonzero(self.spaced[ids])).tolist()
             if len(starts) == len(part):
                 data = ids.tobytes()

@@ -27,6 +27,15 @@ def test_word_cache_equals_the_library(text):
     assert word_ids(VOCAB).encode([text, "a " + text])[0] + b"\0\0\0\0" == whole(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.characters(max_codepoint=0x24F), max_size=40), st.text(st.characters(exclude_categories=["Cs"]), max_size=10))
+def test_merging_by_rank_equals_the_library(latin, other):
+    words = word_ids(VOCAB)
+    words.known.clear()
+    for text in (latin, f"a {latin} {other}", f"{latin}<|endoftext|> {latin}"):
+        assert words.encode([text])[0] + b"\0\0\0\0" == whole(text)
+
+
 def test_special_string_inside_text():
     text = "a <|endoftext|>b <|endoftext|> c"
     assert word_ids(VOCAB).encode([text])[0] + b"\0\0\0\0" == whole(text)
