@@ -9,18 +9,19 @@ intermediates are fresh folders under the shared checkpoint folder.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspark.functions.parsing import DEVICES, GENDERS, clean_list, coerce_enum, iso_or_epoch, list_keep_blanks, \
     zero_default
-from adspark.operators import merge, model, quality, rollups
+from adspark.operators import constraints, merge, model, quality, rollups
 from adspark.operators.clean import exact_dedup, key_dedup_first, normalize_events, null_tokens
 from adspark.plans import reports
 from adspark.plans.catalog import warehouse
 from adspark.session import scratch_path
-from adspark.sources import bridge
+from adspark.sources import bridge, keyed, keymap
 from adspark.sources.csv import RAW_EVENT_COLUMNS, first_n, read_raw
 from adspark.sources.sinks import manifest_counts, publish_tables, upsert_partitions, write_clustered, write_report
 
@@ -276,29 +277,97 @@ def counter_merge(spark, sf_dir):
     return merge.counter_merge(am.unionByName(pm).unionByName(pm), ["campaign_id", "date"], ["impressions", "clicks"])
 
 
-def clustered_write(spark, sf_dir, lo: str = "2024-01-11", hi: str = "2024-01-20"):
-    """Region x day spend written in day partitions, clustered by region and spend,
-    read back for ten days (partition pruning)."""
+def keyed_upsert(spark, sf_dir):
+    """B4 on a stored keyed table: orders by key, three loads.  The second moves every third
+    order to a partition whose name needs escaping, the third some to the null and the empty
+    partition; a load that is sent twice changes nothing."""
+    orders = bridge.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    root = _fresh(spark, "keyed")
+    put = lambda rows, load: keyed.upsert(spark, root, rows, ["o_orderkey"], "o_orderstatus", batch_id=load)
+    put(orders, "first")
+    second = orders.where("o_orderkey % 3 = 0").selectExpr(
+        "o_orderkey", "concat(o_orderstatus, ':/', CAST(o_orderkey % 2 AS STRING)) AS o_orderstatus", "o_totalprice + 1 AS o_totalprice")
+    put(second, "second")
+    put(orders.where("o_orderkey % 5 = 0").selectExpr(
+        "o_orderkey", "CASE WHEN o_orderkey % 2 = 0 THEN '' END AS o_orderstatus", "o_totalprice + 2 AS o_totalprice"), "third")
+    put(second, "second")
+    return keyed.read(spark, root)
+
+
+def ledger_counters(spark, sf_dir):
+    """B5 on stored counters: the campaign-day counts of each six hours of the day are a
+    batch; batches come out of order and the first two come again."""
+    ev = warehouse(spark, sf_dir)["ad_events"]
+    root = _fresh(spark, "counters")
+    for part in (2, 0, 3, 2, 1, 0):
+        delta = rollups.campaign_day(ev.where(F.floor(F.hour("ts") / 6) == part))
+        keyed.add_counts(spark, root, f"hours-{part}", delta, ["campaign_id", "date"], ["impressions", "clicks"], "date")
+    return keyed.read(spark, root)
+
+
+def stable_names(spark, sf_dir):
+    """D4 over three loads of growing event data: campaign names keep the number that their
+    first load gave them."""
+    ev = warehouse(spark, sf_dir)["events_clean"]
+    root = _fresh(spark, "names")
+    for until in ("2024-01-03", "2024-01-15", "2025-01-01"):
+        names = ev.where(F.col("ts") < F.lit(until).cast("timestamp_ntz")).select("campaign_name")
+        keymap.extend(spark, root, names, ["campaign_name"], "name_id")
+    return keymap.read(spark, root).select("name_id", "campaign_name")
+
+
+def stable_clicks(spark, sf_dir):
+    """D5 over three loads: clicks are numbered by time within the load that brings them,
+    after those of the loads before."""
+    clicks = warehouse(spark, sf_dir)["ad_clicks"].select("impression_id", "click_timestamp")
+    root = _fresh(spark, "clicks")
+    for rest in ("CAST(impression_id AS BIGINT) % 3 = 1", "CAST(impression_id AS BIGINT) % 3 <> 2", "true"):
+        keymap.extend(spark, root, clicks.where(rest), ["impression_id"], "click_id", ["click_timestamp", "impression_id"])
+    return keymap.read(spark, root).select("click_id", "impression_id", "click_timestamp")
+
+
+def star_violations(spark, sf_dir):
+    """Every constraint of the eight tables over a star that breaks them."""
+    return constraints.violations(bridge.dirty_star(warehouse(spark, sf_dir)))
+
+
+def delete_graph(spark, sf_dir):
+    """E6 + E7: countries, interests, advertisers and users are deleted; the rows of all eight
+    tables that are left, with their references."""
+    w = warehouse(spark, sf_dir)
+    doomed = {name: w[name].select(key).where(f"{key} % {n} = 0") for name, key, n in
+              (("countries", "country_id", 7), ("interests", "interest_id", 6), ("advertisers", "advertiser_id", 5),
+               ("users", "user_id", 11))}
+    after = constraints.delete_rows({name: w[name] for name in constraints.STAR}, doomed)
+    listed = lambda columns: F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+    parts = [after[name].select(F.lit(name).alias("table"), listed(s.key).alias("key"),
+                                (listed([r.column for r in s.references]) if s.references else F.lit("")).alias("refs"))
+             for name, s in constraints.STAR.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clustered_write(spark, sf_dir):
+    """Region x day spend written in day partitions, clustered by region and spend, and
+    read back."""
     path = _fresh(spark, "clustered")
     write_clustered(rollups.region_day_spend(warehouse(spark, sf_dir)["ad_events"]), path, ["day"],
                     [F.col("region"), F.desc("total_spend")])
-    back = spark.read.parquet(path).where(F.col("day").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
-    return back.withColumn("total_spend", F.col("total_spend").cast("double"))
+    return spark.read.parquet(path).withColumn("total_spend", F.col("total_spend").cast("double"))
 
 
 def staged_publish(spark, sf_dir):
-    """The star re-published from the clean tables, gated on its foreign keys."""
+    """The star re-published from the clean tables, gated on foreign keys of the files
+    written."""
     w, ev, ca, us = _dims(spark, sf_dir)
     star = model.build_star(ev, ca, us)
-    t = star.tables()
     checks = {
-        "campaign_advertiser": quality.check_fk(t["campaigns"], "advertiser_id", t["advertisers"], "advertiser_id",
-                                                ["campaign_id"]),
-        "impression_campaign": quality.check_fk(t["ad_impressions"], "campaign_id", t["campaigns"], "campaign_id",
-                                                ["impression_id"]),
+        "campaign_advertiser": lambda t: quality.check_fk(t["campaigns"], "advertiser_id", t["advertisers"], "advertiser_id",
+                                                          ["campaign_id"]),
+        "impression_campaign": lambda t: quality.check_fk(t["ad_impressions"], "campaign_id", t["campaigns"], "campaign_id",
+                                                          ["impression_id"]),
     }
     root = _fresh(spark, "publish")
-    publish_tables(spark, t, root, checks=checks)
+    publish_tables(spark, star.tables(), root, checks=checks)
     return manifest_counts(spark, root)
 
 

@@ -141,3 +141,42 @@ def raw_ad_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Data
 
 def raw_inputs(spark: SparkSession, sf_dir: str, dirty: bool = False) -> RawInputs:
     return RawInputs(raw_ad_events(spark, sf_dir, dirty), raw_campaigns(spark, sf_dir), raw_users(spark, sf_dir))
+
+
+# What is wrong with the dirty star: table -> column -> its value, in SQL that any engine reads.
+DIRTY_STAR = {
+    "users": {"age": "CASE WHEN user_id % 50 = 0 THEN 0 ELSE age END",
+              "gender": "CASE WHEN user_id % 70 = 0 THEN 'Unknown' ELSE gender END",
+              "country_id": "CASE WHEN user_id % 30 = 0 THEN 999 ELSE country_id END"},
+    "campaigns": {"campaign_name": "CASE WHEN campaign_id % 40 = 0 THEN NULL WHEN campaign_id % 45 = 0 THEN repeat('n', 120) "
+                                   "WHEN campaign_id % 15 = 1 THEN 'Campaign_again' ELSE campaign_name END",
+                  "advertiser_id": "CASE WHEN campaign_id % 60 = 0 THEN 9999 ELSE advertiser_id END",
+                  "campaign_start_date": "CASE WHEN campaign_id % 75 = 0 THEN NULL ELSE campaign_start_date END",
+                  "targeting_age_from": "CASE WHEN campaign_id % 25 = 0 THEN 0 ELSE targeting_age_from END",
+                  "targeting_interest_id": "CASE WHEN campaign_id % 35 = 0 THEN 9999 ELSE targeting_interest_id END",
+                  "targeting_country_id": "CASE WHEN campaign_id % 55 = 0 THEN 9999 ELSE targeting_country_id END",
+                  "budget": "CASE WHEN campaign_id % 65 = 0 THEN 99999999999.00 ELSE budget END"},
+    "users_interests": {"interest_id": "CASE WHEN user_id % 33 = 0 THEN 9999 WHEN user_id % 44 = 0 THEN 1 ELSE interest_id END",
+                        "user_id": "CASE WHEN user_id % 66 = 0 THEN 9999999 ELSE user_id END"},
+    "ad_impressions": {"device": "CASE WHEN CAST(impression_id AS BIGINT) % 200 = 0 THEN 'Watch' ELSE device END",
+                       "user_id": "CASE WHEN CAST(impression_id AS BIGINT) % 210 = 0 THEN 9999999 ELSE user_id END",
+                       "campaign_id": "CASE WHEN CAST(impression_id AS BIGINT) % 220 = 0 THEN NULL "
+                                      "WHEN CAST(impression_id AS BIGINT) % 130 = 0 THEN 9999999 ELSE campaign_id END",
+                       "location_id": "CASE WHEN CAST(impression_id AS BIGINT) % 230 = 0 THEN 999 ELSE location_id END",
+                       "ad_cost": "CASE WHEN CAST(impression_id AS BIGINT) % 250 = 0 THEN 12345.5000 ELSE ad_cost END",
+                       "impression_id": "CASE WHEN CAST(impression_id AS BIGINT) % 300 = 0 THEN '7' "
+                                        "WHEN CAST(impression_id AS BIGINT) % 310 = 0 THEN repeat('9', 60) ELSE impression_id END"},
+    "ad_clicks": {"impression_id": "CASE WHEN click_id % 50 = 0 THEN concat('none-', click_id) WHEN click_id % 51 = 0 THEN '7' "
+                                   "ELSE impression_id END",
+                  "click_timestamp": "CASE WHEN click_id % 60 = 0 THEN NULL ELSE click_timestamp END"},
+    "countries": {"country_name": "CASE WHEN country_id = 3 THEN 'NATION_1' WHEN country_id = 5 THEN repeat('c', 256) "
+                                  "ELSE country_name END"},
+    "advertisers": {"advertiser_name": "CASE WHEN advertiser_id = 2 THEN NULL ELSE advertiser_name END"},
+    "interests": {},
+}
+
+
+def dirty_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The star with every kind of broken constraint."""
+    return {name: tables[name].selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in tables[name].columns])
+            for name, changes in DIRTY_STAR.items()}

@@ -8,6 +8,8 @@ impressions and clicks from ``events``, users from ``customer``.  Dense ids are
 
 from __future__ import annotations
 
+from adspark.sources.bridge import DIRTY_STAR  # the inputs' definition, not the engine's work
+
 START, END, AS_OF, DAY = "2024-01-01", "2024-01-30", "2024-01-30", "2024-01-11"
 ONE = {"campaign_id": 11, "advertiser_id": 3, "user_id": 7}  # of the lookups by id
 
@@ -326,7 +328,103 @@ FROM ev WHERE false""")
 ORACLE["upsert_latest"] = q(_I6)
 ORACLE["counter_merge"] = q(_I1)
 ORACLE["clustered_write"] = q(f"""SELECT region, advertiser_id, advertiser_name, CAST(total_spend AS DOUBLE) AS total_spend, day
-FROM ({_I5}) WHERE day BETWEEN DATE '2024-01-11' AND DATE '2024-01-20'""")
+FROM ({_I5})""")
+ORACLE["keyed_upsert"] = """SELECT o_orderkey,
+       CASE WHEN o_orderkey % 10 = 0 THEN '' WHEN o_orderkey % 5 = 0 THEN NULL
+            WHEN o_orderkey % 3 = 0 THEN o_orderstatus || ':/' || CAST(o_orderkey % 2 AS VARCHAR) ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 2 WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+FROM orders"""
+ORACLE["ledger_counters"] = q(_I1)
+ORACLE["stable_names"] = q("""SELECT row_number() OVER (ORDER BY load, campaign_name) AS name_id, campaign_name FROM (
+  SELECT campaign_name, min(CASE WHEN ts < TIMESTAMP '2024-01-03' THEN 1 WHEN ts < TIMESTAMP '2024-01-15' THEN 2 ELSE 3 END) AS load
+  FROM ev WHERE campaign_name IS NOT NULL AND ts < TIMESTAMP '2025-01-01' GROUP BY campaign_name)""")
+ORACLE["stable_clicks"] = q("""SELECT row_number() OVER (
+  ORDER BY CASE CAST(impression_id AS BIGINT) % 3 WHEN 1 THEN 1 WHEN 0 THEN 2 ELSE 3 END, click_timestamp, impression_id) AS click_id,
+  impression_id, click_timestamp FROM ad_clicks""")
+
+# ---- E: all constraints of a star that breaks them, deletes through all references -------------------
+_BRIDGE = """users_interests AS (SELECT DISTINCT x.user_id, i.interest_id FROM (
+  SELECT user_id, trim(unnest(string_split(interests, ','))) AS name FROM bu) x JOIN interests i ON i.interest_name = x.name)"""
+
+
+def _dirty_star(name: str) -> str:
+    changes = ", ".join(f"{sql} AS {c}" for c, sql in DIRTY_STAR[name].items())
+    return f"d_{name} AS (SELECT {f'* REPLACE ({changes})' if changes else '*'} FROM {name})"
+
+
+def _broken(table: str, key: str, rule: str, value: str, when: str, more: str = "") -> str:
+    return (f"SELECT '{table}' AS \"table\", CAST({key} AS VARCHAR) AS key, '{rule}' AS rule, CAST({value} AS VARCHAR) AS value "
+            f"FROM d_{table} t {more} WHERE {when}")
+
+
+def _fk(table: str, key: str, column: str, parent: str, parent_key: str) -> str:
+    return _broken(table, key, f"fk:{column}", column, f"{column} IS NOT NULL AND NOT EXISTS "
+                   f"(SELECT 1 FROM d_{parent} p WHERE p.{parent_key} = t.{column})")
+
+
+def _twice(table: str, *columns: str) -> str:
+    key = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    return (f"SELECT '{table}', {key}, 'unique:{','.join(columns)}', CAST(count(*) AS VARCHAR) FROM d_{table} "
+            f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in columns)} GROUP BY {', '.join(columns)} HAVING count(*) > 1")
+
+
+_UI = "CAST(user_id AS VARCHAR) || '|' || CAST(interest_id AS VARCHAR)"
+ORACLE["star_violations"] = q(f""", {_BRIDGE}, {", ".join(_dirty_star(n) for n in DIRTY_STAR)}
+""" + " UNION ALL ".join([
+    *[_broken(t, k, f"not_null:{c}", "NULL", f"{c} IS NULL") for t, k, c in (
+        ("countries", "country_id", "country_name"), ("interests", "interest_id", "interest_name"),
+        ("advertisers", "advertiser_id", "advertiser_name"), ("campaigns", "campaign_id", "advertiser_id"),
+        ("campaigns", "campaign_id", "campaign_name"), ("campaigns", "campaign_id", "campaign_start_date"),
+        ("campaigns", "campaign_id", "campaign_end_date"), ("ad_impressions", "impression_id", "campaign_id"),
+        ("ad_impressions", "impression_id", "user_id"), ("ad_impressions", "impression_id", "impression_timestamp"),
+        ("ad_clicks", "click_id", "impression_id"), ("ad_clicks", "click_id", "click_timestamp"))],
+    *[_broken(t, k, f"length:{c}", c, f"length({c}) > {n}") for t, k, c, n in (
+        ("countries", "country_id", "country_name", 255), ("interests", "interest_id", "interest_name", 255),
+        ("advertisers", "advertiser_id", "advertiser_name", 255), ("campaigns", "campaign_id", "campaign_name", 100),
+        ("campaigns", "campaign_id", "ad_slot_size", 50), ("ad_impressions", "impression_id", "impression_id", 50))],
+    *[_broken(t, k, f"range:{c}", c, f"{c} <= 0") for t, k, c in (
+        ("users", "user_id", "age"), ("campaigns", "campaign_id", "targeting_age_from"),
+        ("campaigns", "campaign_id", "targeting_age_to"))],
+    _broken("users", "user_id", "enum:gender", "gender", f"gender NOT IN {_GENDERS}"),
+    _broken("ad_impressions", "impression_id", "enum:device", "device", "device NOT IN ('Mobile', 'Desktop', 'Tablet', 'Other')"),
+    _broken("campaigns", "campaign_id", "type:budget", "CAST(budget AS DECIMAL(18,2))", "abs(budget) >= 10000000000"),
+    _broken("campaigns", "campaign_id", "type:remaining_budget", "CAST(remaining_budget AS DECIMAL(18,2))",
+            "abs(remaining_budget) >= 10000000000"),
+    *[_broken("ad_impressions", "impression_id", f"type:{c}", f"CAST({c} AS DECIMAL(18,4))", f"abs({c}) >= 10000")
+      for c in ("bid_amount", "ad_cost", "ad_revenue")],
+    _fk("users", "user_id", "country_id", "countries", "country_id"),
+    _fk("campaigns", "campaign_id", "advertiser_id", "advertisers", "advertiser_id"),
+    _fk("campaigns", "campaign_id", "targeting_interest_id", "interests", "interest_id"),
+    _fk("campaigns", "campaign_id", "targeting_country_id", "countries", "country_id"),
+    _fk("users_interests", _UI, "user_id", "users", "user_id"), _fk("users_interests", _UI, "interest_id", "interests", "interest_id"),
+    _fk("ad_impressions", "impression_id", "campaign_id", "campaigns", "campaign_id"),
+    _fk("ad_impressions", "impression_id", "user_id", "users", "user_id"),
+    _fk("ad_impressions", "impression_id", "location_id", "countries", "country_id"),
+    _fk("ad_clicks", "click_id", "impression_id", "ad_impressions", "impression_id"),
+    _twice("countries", "country_id"), _twice("countries", "country_name"), _twice("interests", "interest_id"),
+    _twice("interests", "interest_name"), _twice("users", "user_id"), _twice("advertisers", "advertiser_id"),
+    _twice("advertisers", "advertiser_name"), _twice("campaigns", "campaign_id"),
+    _twice("campaigns", "advertiser_id", "campaign_name"), _twice("users_interests", "user_id", "interest_id"),
+    _twice("ad_impressions", "impression_id"), _twice("ad_clicks", "click_id"), _twice("ad_clicks", "impression_id")]))
+
+ORACLE["delete_graph"] = q(f""", {_BRIDGE},
+co AS (SELECT * FROM countries WHERE country_id % 7 <> 0), ii AS (SELECT * FROM interests WHERE interest_id % 6 <> 0),
+ad AS (SELECT * FROM advertisers WHERE advertiser_id % 5 <> 0), us AS (SELECT * FROM users WHERE user_id % 11 <> 0),
+ca AS (SELECT * FROM campaigns WHERE advertiser_id IN (SELECT advertiser_id FROM ad)),
+im AS (SELECT * FROM ad_impressions i WHERE campaign_id IN (SELECT campaign_id FROM ca)
+       AND (user_id IN (SELECT user_id FROM us) OR user_id NOT IN (SELECT user_id FROM users))),
+ck AS (SELECT * FROM ad_clicks WHERE impression_id IN (SELECT impression_id FROM im))
+SELECT 'countries' AS "table", CAST(country_id AS VARCHAR) AS key, '' AS refs FROM co
+UNION ALL SELECT 'interests', CAST(interest_id AS VARCHAR), '' FROM ii
+UNION ALL SELECT 'advertisers', CAST(advertiser_id AS VARCHAR), '' FROM ad
+UNION ALL SELECT 'users', CAST(user_id AS VARCHAR), CASE WHEN country_id > 0 AND country_id % 7 = 0 THEN '-' ELSE CAST(country_id AS VARCHAR) END FROM us
+UNION ALL SELECT 'campaigns', CAST(campaign_id AS VARCHAR), CAST(advertiser_id AS VARCHAR) || '|' ||
+  CASE WHEN targeting_interest_id > 0 AND targeting_interest_id % 6 = 0 THEN '-' ELSE CAST(targeting_interest_id AS VARCHAR) END || '|' ||
+  CASE WHEN targeting_country_id > 0 AND targeting_country_id % 7 = 0 THEN '-' ELSE CAST(targeting_country_id AS VARCHAR) END FROM ca
+UNION ALL SELECT 'users_interests', {_UI}, {_UI} FROM users_interests WHERE user_id % 11 <> 0 AND interest_id % 6 <> 0
+UNION ALL SELECT 'ad_impressions', impression_id, CAST(campaign_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) || '|' ||
+  CASE WHEN location_id > 0 AND location_id % 7 = 0 THEN '-' ELSE CAST(location_id AS VARCHAR) END FROM im
+UNION ALL SELECT 'ad_clicks', CAST(click_id AS VARCHAR), impression_id FROM ck""")
 ORACLE["staged_publish"] = q(" UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {t}" for t in
     ["countries", "interests", "users", "advertisers", "campaigns", "ad_impressions", "ad_clicks"])
