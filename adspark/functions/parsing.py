@@ -66,7 +66,8 @@ def lenient_timestamp(c) -> Column:
     """Text to TIMESTAMP_NTZ (wall clock, UTC by convention); bad text -> NULL.  Text
     with an offset is moved to UTC by it."""
     c = _c(c)
-    moved = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.try_cast("timestamp").cast("timestamp_ntz"))
+    # by the instant itself: a wall clock of the session's zone repeats an hour when summer time ends
+    moved = F.timestamp_add("MICROSECOND", F.unix_micros(c.try_cast("timestamp")), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     return F.when(c.rlike(OFFSET_PATTERN), moved).otherwise(c.try_cast("timestamp_ntz"))
 
 

@@ -16,14 +16,16 @@ from adspark.functions.parsing import (
 )
 from adspark.operators.keys import keep_one
 
+FILE_ORDER = "_file_order"  # a row's place in the files: path, first byte of the split, row of the scan
+
 # wide enough that cleaning drops no amount; a relational table's narrower columns are a matter of its own checks
 MONEY = (18, 4)    # bid / cost / revenue
 BUDGET = (18, 2)   # budget / remaining budget
 
 
 def null_tokens(df: DataFrame) -> DataFrame:
-    """T5: NA text tokens -> NULL on every column (what the reference's CSV reader does)."""
-    return df.select(*[na_to_null(c).alias(c) for c in df.columns])
+    """T5: NA text tokens -> NULL on every text column (what the reference's CSV reader does)."""
+    return df.select(*[na_to_null(c).alias(c) if kind == "string" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
 def exact_dedup(df: DataFrame) -> DataFrame:
@@ -32,8 +34,12 @@ def exact_dedup(df: DataFrame) -> DataFrame:
 
 
 def key_dedup_first(df: DataFrame, key: str = "EventID", order: list | None = None) -> DataFrame:
-    """One row per ``key``, the first by ``order`` (default Timestamp, then every
-    other column: a total order, so the choice does not depend on file order, T1)."""
+    """One row per ``key``, the first by ``order``.  A scan that carries ``FILE_ORDER``
+    decides by that by default: the row that stands first in the files stays, as in the
+    reference, and the column goes.  Otherwise the default is Timestamp, then every other
+    column: a total order, so the choice does not depend on how the rows arrive (T1)."""
+    if order is None and FILE_ORDER in df.columns:
+        return keep_one(df, [key], [FILE_ORDER]).drop(FILE_ORDER)
     order = order or ["Timestamp"]
     order = order + [c for c in df.columns if c != key and c not in order]
     return keep_one(df, [key], order)

@@ -23,6 +23,7 @@ from adspark.plans.catalog import warehouse
 from adspark.session import scratch_path
 from adspark.sources import bridge, keyed, keymap
 from adspark.sources.csv import RAW_EVENT_COLUMNS, first_n, read_raw
+from adspark.sources.layout import write_ordered
 from adspark.sources.sinks import manifest_counts, publish_tables, upsert_partitions, write_clustered, write_report
 
 
@@ -63,6 +64,20 @@ def key_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_dedup_first(_dirty(spark, sf_dir)).select(*_ID_COLS)
 
 
+def key_dedup_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C2 over CSV files: of events that come twice with different values the one that stands
+    first in the files stays (files written in the order of a hash, copies apart)."""
+    raw = _dirty(spark, sf_dir).distinct()
+    copies = raw.withColumn("copy", F.explode(F.when(F.col("EventID").cast("bigint") % 7 == 0, F.array(F.lit(0), F.lit(1)))
+                                              .otherwise(F.array(F.lit(0)))))
+    copies = copies.withColumn("Device", F.when(F.col("copy") == 1, F.lit("Other")).otherwise(F.col("Device"))) \
+        .withColumn("place", F.md5(F.concat_ws(":", "EventID", F.col("copy").cast("string"))))
+    path = _fresh(spark, "copies")
+    copies.repartitionByRange("place").sortWithinPartitions("place").drop("copy", "place") \
+        .write.option("header", True).csv(path)
+    return key_dedup_first(read_raw(spark, path, RAW_EVENT_COLUMNS, file_order=True)).select(*_ID_COLS)
+
+
 def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C3-C6, C15, C16 on the dirty events."""
     typed = normalize_events(_dirty(spark, sf_dir), extra={"ts_iso_or_epoch": iso_or_epoch("Timestamp")})
@@ -355,6 +370,17 @@ def clustered_write(spark, sf_dir):
     return spark.read.parquet(path).withColumn("total_spend", F.col("total_spend").cast("double"))
 
 
+def ordered_lookup(spark, sf_dir, campaign_id: int, user_id: int):
+    """A7 + B6: the impressions written in Z-order over campaign, user and time, and those of
+    one campaign and of one user read back."""
+    path = _fresh(spark, "ordered")
+    imp = warehouse(spark, sf_dir)["ad_impressions"].select("impression_id", "campaign_id", "user_id", "impression_timestamp")
+    write_ordered(imp, path, ["campaign_id", "user_id", "impression_timestamp"], bloom=["campaign_id", "user_id"])
+    back = spark.read.parquet(path)
+    return back.where(F.col("campaign_id") == campaign_id).select(F.lit("campaign").alias("of"), "*") \
+        .unionByName(back.where(F.col("user_id") == user_id).select(F.lit("user").alias("of"), "*"))
+
+
 def staged_publish(spark, sf_dir):
     """The star re-published from the clean tables, gated on foreign keys of the files
     written."""

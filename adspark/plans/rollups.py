@@ -72,3 +72,38 @@ def last_ads_seen(history: DataFrame, user_id: int | None = None, scan: int = 50
         .where(F.col("rank") <= k)
     return imps.select("user_id", "rank", "timestamp", "campaign_id", "advertiser_id",
                        F.when(F.col("_hit") == 1, F.lit("Yes")).otherwise(F.lit("No")).alias("clicked"))
+
+
+def asof_totals(daily: DataFrame, keys: list[str], measure: str, days: int = 31) -> DataFrame:
+    """``as_of, keys.., total`` for every day as the as-of day: ``measure`` over the ``days`` days
+    that end with it, of the keys that have a row there (I12 for all days at once).
+
+    Each daily row adds its value on its day and takes it away ``days`` later; running sums
+    over these changes give a key's total from each change to the next.  So a day is read
+    once, not ``days`` times, and a key's window holds two rows a day of its own at most.
+    ``daily`` has a ``day`` and one row per key and day or more."""
+    first, last = daily.agg(F.min("day"), F.max("day")).first()  # one row
+    rows = daily.where(F.col("day").isNotNull()).select(*keys, "day", F.col(measure).alias("_v"))
+    change = lambda day, sign: rows.select(*keys, day.alias("day"), (F.col("_v") * sign).alias("_v"), F.lit(sign).alias("_n"))
+    changes = (change(F.col("day"), 1).unionAll(change(F.date_add("day", days), -1))
+               .groupBy(*keys, "day").agg(F.sum("_v").alias("_v"), F.sum("_n").alias("_n")))
+    w = Window.partitionBy(*keys).orderBy("day")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    spans = changes.select(*keys, "day", F.sum("_v").over(so_far).alias("total"), F.sum("_n").over(so_far).alias("_n"),
+                           F.date_sub(F.lead("day").over(w), 1).alias("_until"))
+    spans = spans.where((F.col("_n") > 0) & (F.col("day") <= F.lit(last)))  # the last change leaves nothing
+    return spans.select(F.explode(F.sequence("day", F.least("_until", F.lit(last)))).alias("as_of"), *keys, "total")
+
+
+def top_asof(totals: DataFrame, id_col: str, k: int, within: list[str] | None = None) -> DataFrame:
+    """I8, I10, I11 for every as-of day: the ``k`` largest totals of each day (and of each
+    ``within``), ties to the smaller id.  Tasks cut their part to ``k`` before the shuffle."""
+    groups = ["as_of", *(within or [])]
+    w = Window.partitionBy(*groups).orderBy(F.desc("total"), id_col)
+    return (totals.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select(*groups, "rank", id_col, "total"))
+
+
+def spend_asof(daily: DataFrame, keys: list[str]) -> DataFrame:
+    """Spend totals of every as-of day, rounded to cents as the single-day reports do."""
+    return asof_totals(daily, keys, "total_spend").withColumn("total", F.round("total", 2).cast("double"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from adspark.operators.keys import dense_ids
-from adspark.operators.clean import null_tokens
+from adspark.operators.clean import FILE_ORDER, null_tokens
 
 # Raw column sets the reference reads (every column text; typing is the cleaning stage's job).
 RAW_EVENT_COLUMNS = ["EventID", "AdvertiserName", "CampaignName", "CampaignStartDate", "CampaignEndDate",
@@ -23,23 +23,21 @@ def text_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
-def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None, file_order: bool = False) -> DataFrame:
     """A1: header CSV, every column as text (no inference pass over the data), NA
     tokens -> NULL.  With ``columns`` the file's header must hold them; they are bound
-    by name, so column order in the file does not matter (A6)."""
+    by name, so column order in the file does not matter (A6).  ``file_order`` adds each
+    row's place in the files (``FILE_ORDER``): files by path, rows as they stand in them;
+    a task reads the rows of a split in order, so its own row numbers rise along it."""
     df = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
           .option("sep", ",").option("mode", "PERMISSIVE").csv(path))  # all string without inferSchema
     if columns is not None:
         missing = [c for c in columns if c not in df.columns]
         if missing:
             raise ValueError(f"{path}: missing columns {missing}")
-        df = df.select(*columns)
-    return null_tokens(df)
-
-
-def load_by_header(df: DataFrame, target: StructType) -> DataFrame:
-    """Bind text columns to a typed target schema by name (lenient casts)."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in target.fields])
+    place = [F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("row")).alias(FILE_ORDER)] if file_order else []
+    return null_tokens(df.select(*(columns or df.columns), *place))
 
 
 def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
@@ -53,8 +51,8 @@ def first_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
 
 def read_inputs(spark: SparkSession, events_path: str, campaigns_path: str, users_path: str):
     """The three raw CSV inputs of the reference (ad events, campaigns, users) as text
-    frames, columns bound by header name."""
+    frames, columns bound by header name; of events with the same id the first of the file counts."""
     from adspark.sources.bridge import RawInputs
-    return RawInputs(read_raw(spark, events_path, RAW_EVENT_COLUMNS),
+    return RawInputs(read_raw(spark, events_path, RAW_EVENT_COLUMNS, file_order=True),
                      read_raw(spark, campaigns_path, RAW_CAMPAIGN_COLUMNS),
                      read_raw(spark, users_path, RAW_USER_COLUMNS))

@@ -12,6 +12,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from adspark.sources import versions
 from adspark.sources.keyed import same_rows
+from adspark.sources.layout import write_ordered
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -69,7 +70,7 @@ def write_report(sections: dict[str, DataFrame], out_dir: str) -> dict[str, str]
 def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
                    checks: dict | None = None,
                    layouts: dict[str, dict] | None = None, count_rows: bool = True,
-                   views: set[str] | frozenset = frozenset()) -> dict[str, str]:
+                   views: set[str] | frozenset = frozenset(), inputs: str | None = None) -> dict[str, str]:
     """All-or-nothing multi-table load.
 
     Tables are written in order; a callable value is a later stage, called with the
@@ -79,7 +80,8 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
     Every table goes under a fresh version folder; the checks must all be empty; only then
     is the version's manifest (table -> path, rows) created (``count_rows=False``: rows
     NULL, no count job).  Readers take the newest manifest, so a failed load leaves the
-    published version untouched; its own folder is deleted.
+    published version untouched; its own folder is deleted.  ``inputs`` (a fingerprint of
+    what the tables were made from, ``versions.fingerprint``) is kept with the version.
     """
     before, _ = versions.newest(spark, root)
     folder = versions.fresh_folder("tables")
@@ -103,7 +105,10 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
             if lay.get("sort_by"):  # "-name" sorts descending
                 out = out.sortWithinPartitions(*[F.desc(c[1:]) if c.startswith("-") else F.col(c)
                                                  for c in lay["sort_by"]])
-            write_table(out, f"{version}/{name}", partition_by=lay.get("partition_by"))
+            if lay.get("z_order"):
+                write_ordered(out, f"{version}/{name}", lay["z_order"], bloom=lay.get("bloom"))
+            else:
+                write_table(out, f"{version}/{name}", partition_by=lay.get("partition_by"))
             written[name] = spark.read.parquet(f"{version}/{name}")
             rows[name] = {"path": f"{folder}/{name}", "rows": written[name].count() if count_rows else None}
             log.info("published %s (%s rows) in %.1fs", name, rows[name]["rows"], time.time() - t0)
@@ -111,7 +116,7 @@ def publish_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str,
         failed = {k: v for k, v in resolved.items() if not v.isEmpty()}
         if failed:
             raise ValueError(f"load rejected, violated checks: {sorted(failed)}")
-        versions.commit(spark, root, {"tables": rows}, before)
+        versions.commit(spark, root, {"tables": rows, "inputs": inputs}, before)
     except BaseException:
         versions.delete(spark, version)  # a failed load leaves nothing behind
         raise

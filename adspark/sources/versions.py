@@ -8,6 +8,7 @@ version before as it was.  A manifest holds pointers only, never data.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -91,6 +92,21 @@ def commit(spark: SparkSession, root: str, content: dict, after: int) -> int:
     return number
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the names, lengths and modification times of all files at ``paths``: another
+    one whenever a file comes, goes or is written again."""
+    seen = hashlib.sha256()
+    for path in paths:
+        fs, p = file_system(spark, path)
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        seen.update(json.dumps(sorted(found)).encode())
+    return seen.hexdigest()
+
+
 def fresh_folder(kind: str) -> str:
     """A name under the root that no other load uses."""
     return f"{kind}/v-{uuid.uuid4().hex[:16]}"

@@ -219,6 +219,25 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY r) AS INTE
 LEFT JOIN clicked c ON c.user_id = x.user_id AND c.campaign_id = x.campaign_id
 WHERE x.rank <= 10""")
 
+
+
+def _asof(daily: str, keys: str, total: str) -> str:
+    """Totals of the 31 days that end with each day from the first to the last."""
+    return f"""SELECT CAST(a.d AS DATE) AS as_of, {keys}, {total} AS total FROM (
+      SELECT unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM ({daily})) a
+      JOIN ({daily}) t ON t.day BETWEEN a.d - INTERVAL 30 DAY AND a.d GROUP BY a.d, {keys}"""
+
+
+def _top_asof(totals: str, id_col: str, k: int, within: str = "") -> str:
+    return f"""SELECT as_of, {within} rank, {id_col}, total FROM (SELECT *, CAST(row_number() OVER (
+      PARTITION BY {within} as_of ORDER BY total DESC, {id_col}) AS INTEGER) AS rank FROM ({totals})) WHERE rank <= {k}"""
+
+
+_CENTS = "CAST(round(SUM(total_spend), 2) AS DOUBLE)"
+ORACLE["top_advertisers_asof"] = q(_top_asof(_asof(_I3, "advertiser_id", _CENTS), "advertiser_id", 5))
+ORACLE["top_users_asof"] = q(_top_asof(_asof(_I2, "user_id", "CAST(SUM(clicks) AS BIGINT)"), "user_id", 10))
+ORACLE["top_region_asof"] = q(_top_asof(_asof(_I5, "region, advertiser_id", _CENTS), "advertiser_id", 5, "region,"))
+
 # H: documents ------------------------------------------------------------------------
 _DOC = "(SELECT * FROM evx WHERE user_id IS NOT NULL AND campaign_id IS NOT NULL)"
 ORACLE["ad_sessions"] = q(f"""SELECT user_id, device, min(ts) AS session_start, max(ts) AS session_end,
@@ -265,6 +284,11 @@ _DIRTY = """, dirty AS (
 """
 ORACLE["exact_dedup"] = q(_DIRTY + "SELECT DISTINCT * FROM dirty")
 ORACLE["key_dedup_first"] = q(_DIRTY + "SELECT * FROM dirty QUALIFY row_number() OVER (PARTITION BY EventID) = 1")
+ORACLE["key_dedup_file_order"] = q("""SELECT EventID, CampaignName, UserID, Device FROM (
+  SELECT event_id AS EventID, 'Campaign_' || CAST(k + 1 AS VARCHAR) AS CampaignName, CAST(user_id AS VARCHAR) AS UserID,
+         CASE WHEN copy = 1 THEN 'Other' ELSE device END AS Device,
+         row_number() OVER (PARTITION BY event_id ORDER BY md5(event_id || ':' || CAST(copy AS VARCHAR))) AS r
+  FROM be, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR eid % 7 = 0) WHERE r = 1""")
 ORACLE["lenient_casts"] = q("""SELECT event_id, CASE WHEN eid % 89 = 0 THEN NULL ELSE ts END AS ts, click_ts,
        CASE WHEN eid % 97 = 0 THEN NULL ELSE CAST(ad_cost AS DOUBLE) END AS ad_cost,
        CASE WHEN eid % 97 = 0 THEN 0.0 ELSE CAST(ad_cost AS DOUBLE) END AS cost_or_zero,
@@ -329,6 +353,9 @@ ORACLE["upsert_latest"] = q(_I6)
 ORACLE["counter_merge"] = q(_I1)
 ORACLE["clustered_write"] = q(f"""SELECT region, advertiser_id, advertiser_name, CAST(total_spend AS DOUBLE) AS total_spend, day
 FROM ({_I5})""")
+ORACLE["ordered_lookup"] = q(f"""SELECT 'campaign' AS "of", impression_id, campaign_id, user_id, impression_timestamp
+FROM ad_impressions WHERE campaign_id = {ONE['campaign_id']}
+UNION ALL SELECT 'user', impression_id, campaign_id, user_id, impression_timestamp FROM ad_impressions WHERE user_id = {ONE['user_id']}""")
 ORACLE["keyed_upsert"] = """SELECT o_orderkey,
        CASE WHEN o_orderkey % 10 = 0 THEN '' WHEN o_orderkey % 5 = 0 THEN NULL
             WHEN o_orderkey % 3 = 0 THEN o_orderstatus || ':/' || CAST(o_orderkey % 2 AS VARCHAR) ELSE o_orderstatus END AS o_orderstatus,

@@ -39,6 +39,17 @@ def test_offsets_move_to_utc(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
 
 
+def test_offsets_in_the_hour_that_comes_twice(spark):
+    texts = ["2024-11-03T08:30:00Z", "2024-11-03T09:30:00Z", "2024-11-03 01:30:00-08:00", "2024-03-10T02:30:00Z", "2024-03-10 02:30:00"]
+    want = ["2024-11-03 08:30:00", "2024-11-03 09:30:00", "2024-11-03 09:30:00", "2024-03-10 02:30:00", "2024-03-10 02:30:00"]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert values(spark, texts, lenient_timestamp) == want and values(spark, texts, iso_or_epoch) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_large_amounts_stay(spark):
     assert values(spark, ["12345.5", "99999999999.1234"], lambda c: lenient_decimal(c, *MONEY), "decimal(18,4)") == \
         [Decimal("12345.5000"), Decimal("99999999999.1234")]
