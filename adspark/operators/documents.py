@@ -4,8 +4,9 @@ A session is every impression of one (user, device) pair (T22).  A session's
 impression array is unbounded, so a session document is stored as bucket documents of
 about ``bucket_size`` impressions each (the bucket pattern): the bucket of an
 impression is a hash of its id modulo the session's bucket count.  No group larger than
-a bucket is ever collected into one row, and a session holding a third of all events
-spreads over many tasks.  Session start / end are exact over the whole session.
+a bucket is ever collected into one row.  Session start / end are exact over the whole
+session.  ``build_session_days`` makes documents by day instead, in time order, without
+the join that ``build_sessions`` needs for its buckets.
 """
 
 from __future__ import annotations
@@ -70,6 +71,30 @@ def build_sessions(events: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> Data
                        F.transform("_imps", lambda x: x["imp"]).alias("impressions"))
 
 
+def build_session_days(events: DataFrame, most: int = DEFAULT_BUCKET) -> DataFrame:
+    """H1 by day: documents ``(user_id, device, day, first_at, last_at, first_id, n, impressions[])``
+    of at most ``most`` impressions of one user on one device on one day, in time order; a long
+    day is several documents, each after the other (``first_at``, ``first_id``).
+
+    One rule for every size: impressions are range-partitioned and sorted by user, device, time
+    and id, so a session with a third of all rows is cut over many tasks, and every run of
+    ``most`` rows of a task's sorted rows becomes an array on its own.  No join, no count of
+    sessions beforehand, and no array or group larger than ``most``."""
+    ev = events.where(F.col("user_id").isNotNull() & F.col("campaign_id").isNotNull())
+    by = ["user_id", "device", "ts", "event_id"]
+    rows = ev.select(*by, F.to_date("ts").alias("day"), impression_struct().alias("imp"))
+    placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    # the row's number in its task is in the low bits
+    run = placed.withColumn("_run", F.shiftright("_at", 33)) \
+        .withColumn("_piece", F.floor(F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(most)))
+    docs = run.groupBy("user_id", "device", "day", "_run", "_piece").agg(
+        F.min("ts").alias("first_at"), F.max("ts").alias("last_at"), F.count(F.lit(1)).alias("n"),
+        F.sort_array(F.collect_list(F.struct(F.col("ts").alias("_t"), F.col("event_id").alias("_id"), "imp"))).alias("_imps"))
+    return docs.select(F.col("user_id").cast("int").alias("user_id"), "device", "day", "first_at", "last_at",
+                       F.get("_imps", F.lit(0))["_id"].alias("first_id"), "n",
+                       F.transform("_imps", lambda x: x["imp"]).alias("impressions"))
+
+
 def build_user_documents(users: DataFrame) -> DataFrame:
     """H3: user documents with nested demographics, interests as a list (inner blanks
     kept, C12) and a zeroed interaction history.  ``created_at`` / ``updated_at`` are the

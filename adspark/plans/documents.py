@@ -108,3 +108,36 @@ def top_categories(sessions: DataFrame, user_id: int | None = None, k: int = 3,
         per = per.join(n, "user_id").withColumn("clicks", F.col("clicks") * F.col("_n")).drop("_n")
     w = Window.partitionBy("user_id").orderBy(F.desc("clicks"), "category")
     return per.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def document_report(sessions: DataFrame, day: str, seed: int = 0) -> dict[str, DataFrame]:
+    """B2: the document store's report, its five questions titled."""
+    return {
+        "All ad interactions for a sampled user": user_interactions(sessions, seed=seed),
+        "Last 5 ad sessions of each user": last_sessions(sessions),
+        "Ad clicks per hour and campaign on one day": clicks_per_hour(sessions, day),
+        "Users who saw the same ad 5+ times without a click": repeated_no_click(sessions),
+        "Top 3 ad categories of each user": top_categories(sessions),
+    }
+
+
+def day_sequence(docs: DataFrame) -> DataFrame:
+    """``user_id, device, day, seq, impression_id`` from day documents: each impression's number
+    in its user's day on a device.  Only the documents' sizes are numbered across; the
+    impressions follow from their places inside them."""
+    light = docs.select("user_id", "device", "day", "first_at", "first_id", "n")
+    w = Window.partitionBy("user_id", "device", "day").orderBy("first_at", "first_id")
+    before = light.withColumn("_before", F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    keyed = before.select(F.col("first_id").alias("_id"), "_before")  # an impression begins one document at most
+    return (docs.join(keyed, F.col("first_id") == F.col("_id"))
+            .select("user_id", "device", "day", "_before", F.posexplode("impressions").alias("_pos", "_imp"))
+            .select("user_id", "device", "day", (F.col("_before") + F.col("_pos") + 1).alias("seq"),
+                    F.col("_imp.impression_id").alias("impression_id")))
+
+
+def clicks_per_hour_of_days(docs: DataFrame, day: str) -> DataFrame:
+    """H6 over day documents: documents of other days are not read."""
+    x = docs.where(F.col("day") == F.lit(day).cast("date")).select(F.explode(F.transform("impressions", lambda i: F.struct(
+        i["advertiser_id"].alias("advertiser_id"), i["campaign_id"].alias("campaign_id"), i["timestamp"].alias("timestamp"),
+        i["clicked"].alias("clicked")))).alias("i")).select("i.*").where("clicked")
+    return x.groupBy("advertiser_id", "campaign_id", F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("clicks"))

@@ -16,15 +16,18 @@ from pyspark.sql import functions as F
 
 from adspark.functions.parsing import DEVICES, GENDERS, clean_list, coerce_enum, iso_or_epoch, list_keep_blanks, \
     zero_default
-from adspark.operators import constraints, merge, model, quality, rollups
+from adspark.operators import constraints, documents, merge, model, quality, rollups
 from adspark.operators.clean import exact_dedup, key_dedup_first, normalize_events, null_tokens
 from adspark.plans import reports
 from adspark.plans.catalog import warehouse
+from adspark.plans.documents import day_sequence, document_report
+from adspark.plans.rollups import wide_report
 from adspark.session import scratch_path
 from adspark.sources import bridge, keyed, keymap
 from adspark.sources.csv import RAW_EVENT_COLUMNS, first_n, read_raw
 from adspark.sources.layout import write_ordered
-from adspark.sources.sinks import manifest_counts, publish_tables, upsert_partitions, write_clustered, write_report
+from adspark.sources.sinks import flatten_for_text, manifest_counts, publish_tables, upsert_partitions, write_clustered, \
+    write_report, write_table
 
 
 def _fresh(spark: SparkSession, what: str) -> str:
@@ -413,6 +416,44 @@ def report_sections(spark, sf_dir, start: str = "2024-01-01", end: str = "2024-0
     return df.groupBy("section").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _cells(df: DataFrame) -> F.Column:
+    """A row's text: numbers with four places, anything else as it stands."""
+    return F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").try_cast("decimal(18,4)").cast("string"), F.col(f"`{c}`"), F.lit(""))
+                              for c in df.columns])
+
+
+def report_contents(spark, sf_dir, start: str, end: str, day: str, as_of: str):
+    """B2 + B8: the three reports, all sections, written as CSV and read back line by line."""
+    w = warehouse(spark, sf_dir)
+    sections = {**reports.sql_report(w, start, end), **document_report(w["ad_sessions"], day), **wide_report(w, as_of)}
+    parts = []
+    for title, path in write_report(sections, _fresh(spark, "reports")).items():
+        back = read_raw(spark, path)
+        parts.append(back.select(F.lit(title).alias("section"), _cells(back).alias("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def star_csv(spark, sf_dir):
+    """B1: the eight star tables and the three normalised inputs written as CSV and read back
+    line by line."""
+    w = warehouse(spark, sf_dir)
+    root, parts = _fresh(spark, "csv-star"), []
+    for name in [*constraints.STAR, "events_clean", "campaigns_clean", "users_clean"]:
+        df = w[name].drop("created_at")
+        write_table(flatten_for_text(df), f"{root}/{name}", fmt="csv")
+        back = read_raw(spark, f"{root}/{name}")
+        parts.append(back.select(F.lit(name).alias("table"), _cells(back).alias("cells")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def session_days(spark, sf_dir):
+    """H1 by day: day documents written and read back, every impression with its number in the
+    user's day on the device."""
+    path = _fresh(spark, "days")
+    write_table(documents.build_session_days(warehouse(spark, sf_dir)["ad_events"], most=50), path, partition_by=["day"])
+    return day_sequence(spark.read.parquet(path))
+
+
 # ---- K: streaming ---------------------------------------------------------------------
 def stream_campaign_day(spark, sf_dir):
     """K1 + K2: the events file as a stream -> de-duplicated, windowed campaign-day
@@ -424,3 +465,25 @@ def stream_campaign_day(spark, sf_dir):
                          run + "/out", run + "/checkpoint")
     q.awaitTermination()
     return current_counters(spark, run + "/out")
+
+
+def stream_with_late(spark, sf_dir, root: str | None = None):
+    """K1 + K2 without losses: events arrive in three parts, the stream runs after each.  Of the
+    first ten days a tenth comes with the second part, of the days to the twentieth a tenth
+    and copies of a seventh with the third; what is behind the watermark by then is in the
+    late log.  Returns the counters and, by campaign and day, how many rows came late."""
+    from adspark.streaming.counters import events_file_stream, read_counters, read_late, run_counted
+    ev = bridge.read_table(spark, sf_dir, "events")
+    lookup = model.campaign_lookup(warehouse(spark, sf_dir)["campaigns_clean"])
+    root = root or _fresh(spark, "counted")
+    first, second = "ts < TIMESTAMP_NTZ'2024-01-11'", "ts < TIMESTAMP_NTZ'2024-01-21'"
+    arrivals = [f"{first} AND event_id % 10 <> 0",
+                f"({first} AND event_id % 10 = 0) OR (NOT {first} AND {second} AND event_id % 10 <> 0)",
+                f"(NOT {first} AND {second} AND (event_id % 10 = 0 OR event_id % 7 = 0)) OR NOT {second}"]
+    for n, part in enumerate(arrivals):
+        ev.where(part).write.parquet(f"{root}/in/events-{n}.parquet")
+        run_counted(spark, events_file_stream(spark, f"{root}/in", files_per_batch=10_000), lookup, root).awaitTermination()
+    late = (read_late(spark, root).join(lookup, "campaign_name").groupBy("campaign_id", F.to_date("ts").alias("date"))
+            .agg(F.count(F.lit(1)).alias("late")))
+    return (read_counters(spark, root).join(late, ["campaign_id", "date"], "full")
+            .select("campaign_id", "date", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("impressions", "clicks", "late")]))

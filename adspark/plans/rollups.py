@@ -74,6 +74,17 @@ def last_ads_seen(history: DataFrame, user_id: int | None = None, scan: int = 50
                        F.when(F.col("_hit") == 1, F.lit("Yes")).otherwise(F.lit("No")).alias("clicked"))
 
 
+def wide_report(w: dict, as_of: str) -> dict[str, DataFrame]:
+    """B2: the wide-column store's report, its five questions titled."""
+    return {
+        "CTR per campaign and day": campaign_day_ctr(w["campaign_day"]),
+        "Top 5 advertisers by spend in 31 days": top_advertisers_31d(w["advertiser_day"], as_of),
+        "Last 10 ads seen by each user": last_ads_seen(w["engagement_history"]),
+        "Top 10 users by clicks in 31 days": top_users_31d(w["user_day"], as_of),
+        "Top 5 advertisers by spend in each region in 31 days": top_region_advertisers(w["region_day_spend"], as_of),
+    }
+
+
 def asof_totals(daily: DataFrame, keys: list[str], measure: str, days: int = 31) -> DataFrame:
     """``as_of, keys.., total`` for every day as the as-of day: ``measure`` over the ``days`` days
     that end with it, of the keys that have a row there (I12 for all days at once).

@@ -23,7 +23,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.option("header", True).option("escape", '"')  # a quote in a value is doubled
     w.format(fmt).save(path)
 
 
@@ -62,7 +62,7 @@ def write_report(sections: dict[str, DataFrame], out_dir: str) -> dict[str, str]
     for title, df in sections.items():
         safe = "".join(ch if ch.isalnum() else "_" for ch in title).strip("_").lower()
         path = f"{out_dir.rstrip('/')}/{safe}"
-        flatten_for_text(df).write.mode("overwrite").option("header", True).csv(path)
+        write_table(flatten_for_text(df), path, fmt="csv")
         paths[title] = path
     return paths
 

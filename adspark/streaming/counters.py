@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adspark.operators.keys import keep_one, sized_broadcast
+from adspark.session import materialize
+from adspark.sources import keyed, versions
 
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
@@ -78,3 +80,73 @@ def events_file_stream(spark: SparkSession, sf_dir: str, files_per_batch: int =
                                (F.get_json_object("props", "$.k").cast("bigint") + 1).cast("string"))
                       .alias("campaign_name"),
                       (F.col("event_type") == "click").alias("clicked"))
+
+
+# ---- counters that lose no row -----------------------------------------------------
+def run_counted(spark: SparkSession, source: DataFrame, campaign_of: DataFrame, root: str, delay: str = "1 day"):
+    """K1 + K2 without losses: start the stream over what has arrived (``availableNow``).
+
+    Every micro-batch is split by the watermark that the batches before it set (their latest
+    event time less ``delay``): rows behind it, and rows without a time, go to a late log,
+    the others are counted once for each event id.  Ids are remembered as long as the
+    watermark lets their events in, by day, so old ones go.  The counts are added to stored
+    counters under the batch's number (``sources.keyed.add_counts``), the late rows and ids
+    go to folders of their own, and one manifest commits the batch's watermark and folders.
+    A batch that dies anywhere and runs again is split by the same state and counted once.
+    ``read_counters`` and ``read_late`` read the results."""
+    seconds = int(spark.sql(f"SELECT unix_seconds(timestamp_seconds(0) + INTERVAL {delay})").first()[0])
+    lookup = materialize(campaign_of)
+    name = f"{root.rstrip('/')}/checkpoint"
+
+    def one(batch: DataFrame, batch_id: int) -> None:
+        state_root = versions.join(root, "state")
+        number, state = versions.newest(spark, state_root)
+        if batch_id <= state.get("batch", -1):
+            return
+        rows = materialize(batch.select("event_id", "ts", "campaign_name", "clicked"))
+        mark = state.get("watermark")
+        late = F.col("ts").isNull() if mark is None else F.col("ts").isNull() | (seconds_of("ts") < F.lit(mark))
+        folder = versions.fresh_folder("late")
+        rows.where(late).withColumn("batch", F.lit(batch_id)).write.parquet(versions.join(state_root, folder))
+        fresh = keep_one(rows.where(~late), ["event_id"], ["ts", "campaign_name", "clicked"])
+        known = [p for p, newest_day in state.get("seen", []) if mark is None or newest_day >= mark // 86_400]
+        if known:
+            ids = spark.read.schema("event_id string, day int").parquet(*[versions.join(state_root, p) for p in known])
+            fresh = fresh.join(ids.where(F.col("day") >= F.lit((mark or 0) // 86_400)).select("event_id"), "event_id", "left_anti")
+        fresh = materialize(fresh)
+        counts = (fresh.join(sized_broadcast(lookup), "campaign_name")
+                  .groupBy("campaign_id", F.to_date("ts").alias("date"))
+                  .agg(F.count("clicked").alias("impressions"),
+                       F.coalesce(F.sum(F.col("clicked").cast("int")), F.lit(0)).cast("bigint").alias("clicks")))
+        keyed.add_counts(spark, versions.join(root, "counters"), f"batch-{batch_id}", counts, ["campaign_id", "date"],
+                         ["impressions", "clicks"], "date")
+        seen = versions.fresh_folder("seen")
+        day = F.floor(seconds_of("ts") / 86_400).cast("int")
+        fresh.select("event_id", day.alias("day")).write.parquet(versions.join(state_root, seen))
+        high, newest_day = fresh.agg(F.max(seconds_of("ts")), F.max(day)).first()  # one row
+        marks = [m for m in (mark, None if high is None else high - seconds) if m is not None]
+        versions.commit(spark, state_root, {
+            "batch": batch_id, "watermark": max(marks) if marks else None, "late": state.get("late", []) + [folder],
+            "seen": [[p, d] for p, d in state.get("seen", []) if p in known] + ([] if newest_day is None else [[seen, newest_day]])},
+            number)
+
+    return (source.writeStream.option("checkpointLocation", name).foreachBatch(one).trigger(availableNow=True).start())
+
+
+def seconds_of(ntz_col: str) -> F.Column:
+    """Whole seconds of a wall-clock time, rounded down."""
+    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(EPOCH_NTZ), F.col(ntz_col)) / F.lit(1_000_000))
+
+
+def read_counters(spark: SparkSession, root: str) -> DataFrame:
+    """``campaign_id, date, impressions, clicks`` of the rows that came in time."""
+    return keyed.read(spark, versions.join(root, "counters"))
+
+
+def read_late(spark: SparkSession, root: str) -> DataFrame:
+    """``event_id, ts, campaign_name, clicked, batch``: the rows that came behind the
+    watermark, as they came."""
+    _, state = versions.newest(spark, versions.join(root, "state"))
+    schema = "event_id string, ts timestamp_ntz, campaign_name string, clicked boolean, batch int"
+    paths = [versions.join(root, "state", p) for p in state.get("late", [])]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

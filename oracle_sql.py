@@ -481,3 +481,83 @@ for _one, _all, _id in (("campaign_performance_one", "campaign_performance", "ca
                         ("user_engagements_one", "user_engagements", "user_id"),
                         ("last_ads_one", "last_ads_seen", "user_id")):
     ORACLE[_one] = f"SELECT * FROM ({ORACLE[_all]}) t WHERE {_id} = {ONE[_id]}"
+
+
+# ---- B1, B2, B8: contents of the written files ---------------------------------------------
+def _cells(*columns: str) -> str:
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(CAST(TRY_CAST(CAST({c} AS VARCHAR) AS DECIMAL(18,4)) AS VARCHAR), CAST({c} AS VARCHAR), '')" for c in columns) + ")"
+
+
+_DOC_SECTIONS = [("All ad interactions for a sampled user", "user_interactions"),
+                 ("Last 5 ad sessions of each user", "last_sessions"),
+                 ("Ad clicks per hour and campaign on one day", "clicks_per_hour"),
+                 ("Users who saw the same ad 5+ times without a click", "repeated_no_click"),
+                 ("Top 3 ad categories of each user", "top_categories")]
+_WIDE_SECTIONS = [("CTR per campaign and day", "campaign_day_ctr"), ("Top 5 advertisers by spend in 31 days", "top_advertisers_31d"),
+                  ("Last 10 ads seen by each user", "last_ads_seen"), ("Top 10 users by clicks in 31 days", "top_users_31d"),
+                  ("Top 5 advertisers by spend in each region in 31 days", "top_region_advertisers")]
+_COLUMNS = {  # of the sections, in the order of the report
+    "top_campaigns_ctr": "campaign_id campaign_name impressions clicks ctr_percentage",
+    "advertiser_spend": "advertiser_id advertiser_name total_spent",
+    "campaign_cpc_cpm": "campaign_id campaign_name avg_cpc avg_cpm", "top_locations_revenue": "user_location total_revenue",
+    "top_users_clicks": "user_id total_clicks", "budget_spent": "campaign_id campaign_name budget remaining_budget percent_spent",
+    "device_ctr": "device impressions clicks ctr_percentage",
+    "user_interactions": "user_id impression_id campaign_id campaign_interest campaign_location campaign_name advertiser_id "
+                         "timestamp location bid_amount ad_cost ad_revenue clicked click_events",
+    "last_sessions": "user_id device rank session_start session_end clicks",
+    "clicks_per_hour": "advertiser_id campaign_id hour clicks", "repeated_no_click": "user_id campaign_id impressions",
+    "top_categories": "user_id category clicks rank", "campaign_day_ctr": "campaign_id date impressions clicks ctr",
+    "top_advertisers_31d": "advertiser_id total_spend",
+    "last_ads_seen": "user_id rank timestamp campaign_id advertiser_id clicked", "top_users_31d": "user_id clicks",
+    "top_region_advertisers": "region advertiser_id total_spend rank",
+}
+
+
+def _section(key: str) -> str:
+    if key == "user_interactions":  # click events are a list of documents, as JSON
+        return (f"SELECT * EXCLUDE (click_timestamp), CASE WHEN click_timestamp IS NULL THEN '[]' ELSE '[{{\"click_timestamp\":\"' || "
+                f"strftime(click_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || '\"}}]' END AS click_events FROM ({ORACLE[key]})")
+    return ORACLE[key]
+
+
+ORACLE["report_contents"] = " UNION ALL ".join(
+    f"SELECT '{title}' AS section, {_cells(*_COLUMNS[key].split())} AS cells FROM ({_section(key)})"
+    for title, key in [*_SECTIONS[:7], *_DOC_SECTIONS, *_WIDE_SECTIONS])
+
+_STAR_COLUMNS = {
+    "countries": "country_id country_name", "interests": "interest_id interest_name",
+    "users": "user_id age gender country_id signup_date", "advertisers": "advertiser_id advertiser_name",
+    "campaigns": "campaign_id advertiser_id campaign_name campaign_start_date campaign_end_date targeting_criteria "
+                 "targeting_age_from targeting_age_to targeting_interest_id targeting_country_id ad_slot_size budget remaining_budget",
+    "users_interests": "user_id interest_id",
+    "ad_impressions": "impression_id campaign_id user_id device location_id impression_timestamp bid_amount ad_cost ad_revenue",
+    "ad_clicks": "click_id impression_id click_timestamp",
+}
+ORACLE["star_csv"] = q(f""", {_BRIDGE}, events_clean AS (
+  SELECT be.event_id, bc.advertiser_name, bc.campaign_name, bc.start_date, bc.end_date, bc.interest, bc.country, be.user_id, be.device,
+         be.location, be.ts, be.click_ts, be.bid_amount, be.ad_cost, be.ad_revenue, bc.budget, bc.remaining_budget, be.was_clicked
+  FROM be LEFT JOIN bc ON bc.campaign_id = be.k + 1)
+""" + " UNION ALL ".join([
+    *[f"SELECT '{t}' AS \"table\", {_cells(*c.split())} AS cells FROM {t}" for t, c in _STAR_COLUMNS.items()],
+    f"""SELECT 'events_clean', {_cells(*'event_id advertiser_name campaign_name start_date end_date interest country user_id device location ts click_ts bid_amount ad_cost ad_revenue budget remaining_budget was_clicked'.split())} FROM events_clean""",
+    f"""SELECT 'campaigns_clean', {_cells(*'campaign_id advertiser_name campaign_name start_date end_date targeting_criteria ad_slot_size budget remaining_budget p_size (p_size+10) interest country'.split())} FROM bc""",
+    f"""SELECT 'users_clean', {_cells(*'user_id age raw_gender location interests signup_date'.split())} FROM bu"""]))
+
+ORACLE["session_days"] = q(f"""SELECT user_id, device, CAST(ts AS DATE) AS day,
+       row_number() OVER (PARTITION BY user_id, device, CAST(ts AS DATE) ORDER BY ts, event_id) AS seq, event_id AS impression_id
+FROM {_DOC}""")
+
+_F, _S = "ts < TIMESTAMP '2024-01-11'", "ts < TIMESTAMP '2024-01-21'"
+ORACLE["stream_with_late"] = q(f""",
+parts AS (SELECT 1 AS part, * FROM ev WHERE {_F} AND eid % 10 <> 0
+  UNION ALL SELECT 2, * FROM ev WHERE ({_F} AND eid % 10 = 0) OR (NOT {_F} AND {_S} AND eid % 10 <> 0)
+  UNION ALL SELECT 3, * FROM ev WHERE (NOT {_F} AND {_S} AND (eid % 10 = 0 OR eid % 7 = 0)) OR NOT {_S}),
+marks AS (SELECT part + 1 AS part, floor(epoch(max(ts)))::BIGINT - 86400 AS mark FROM parts GROUP BY part),
+seen AS (SELECT parts.*, coalesce(epoch(ts) < (SELECT max(m.mark) FROM marks m WHERE m.part <= parts.part), false) AS late FROM parts),
+counted AS (SELECT * FROM seen WHERE NOT late QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY part) = 1),
+c AS (SELECT campaign_id, CAST(ts AS DATE) AS date, COUNT(was_clicked) AS impressions,
+       CAST(coalesce(SUM(CAST(was_clicked AS INTEGER)), 0) AS BIGINT) AS clicks FROM counted WHERE campaign_id IS NOT NULL GROUP BY ALL),
+l AS (SELECT campaign_id, CAST(ts AS DATE) AS date, COUNT(*) AS late FROM seen WHERE late AND campaign_id IS NOT NULL GROUP BY ALL)
+SELECT campaign_id, date, coalesce(impressions, 0) AS impressions, coalesce(clicks, 0) AS clicks, coalesce(late, 0) AS late
+FROM c FULL JOIN l USING (campaign_id, date)""")
