@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 CACHE_WORDS = 400_000   # words kept by a worker; reaching it empties the cache, results do not change
-KEPT_WORDS = 500_000    # the same for the shorter entries of ``WordIds``
+KEPT_WORDS = 250_000    # the same for ``WordIds``, whose memory outlives a stage in a reused worker
 JOINED_WORDS = 1000     # new words encoded together
 CACHE_CHARS = 64        # longer words are encoded each time
 
