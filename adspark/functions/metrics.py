@@ -12,9 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-__all__ = ["money_sum", "money_units", "round_ratio", "round_money", "as_double"]
+__all__ = ["money_sum", "money_units", "round_ratio", "round_money"]
 
 MONEY_SUM_TYPE = DecimalType(18, 4)
+WHOLE = DecimalType(28, 0)  # of exact ratios: times 2 * 10^4 it still fits 38 digits
 
 
 def _c(c) -> Column:
@@ -27,16 +28,16 @@ def money_sum(c) -> Column:
 
 
 def money_units(total) -> Column:
-    """A DECIMAL(.,4) money amount as an integer count of 1/10000 units."""
-    return (_c(total) * F.lit(10000)).cast("bigint")
+    """A DECIMAL(.,4) money amount as an integer count of 1/10000 units, beyond 64 bits too."""
+    return (_c(total).cast(DecimalType(28, 4)) * F.lit(10000)).cast(WHOLE)
 
 
 def round_ratio(num, den, digits: int = 2) -> Column:
     """round(num / den, digits) for integer num and integer den > 0; NULL otherwise."""
     wide = DecimalType(20, 0)
-    num, den = _c(num).cast("bigint"), _c(den).cast("bigint")
+    num, den = _c(num).cast(WHOLE), _c(den).cast("bigint")
     scale = 10 ** digits
-    x = F.abs(num.cast(wide)) * F.lit(2 * scale).cast(wide) + den.cast(wide)
+    x = F.abs(num) * F.lit(2 * scale).cast(DecimalType(7, 0)) + den.cast(wide)
     q = F.call_function("div", x, den.cast(wide) * F.lit(2).cast(wide))  # exact integer quotient
     return F.when(den > 0, F.signum(num) * q / F.lit(float(scale)))
 
@@ -45,6 +46,3 @@ def round_money(total, digits: int = 2) -> Column:
     """ROUND of an exact decimal sum, returned as DOUBLE."""
     return F.round(_c(total), digits).cast("double")
 
-
-def as_double(c) -> Column:
-    return _c(c).cast("double")

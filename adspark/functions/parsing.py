@@ -12,7 +12,7 @@ from pyspark.sql.types import DecimalType
 
 __all__ = [
     "NA_TOKENS", "GENDERS", "DEVICES", "AGE_RANGE_PATTERN", "UNKNOWN_CATEGORY",
-    "na_to_null", "lenient_timestamp", "lenient_decimal", "lenient_int", "lenient_double",
+    "na_to_null", "lenient_timestamp", "lenient_decimal", "lenient_int",
     "to_bool", "blank_to_null", "force_bool", "targeting_part", "age_bound",
     "clean_list", "list_keep_blanks", "coerce_enum", "zero_default", "iso_or_epoch",
     "action_label",
@@ -83,10 +83,6 @@ def lenient_int(c) -> Column:
     return F.coalesce(c.try_cast("int"), F.when(wide == F.floor(wide), wide.try_cast("int")))
 
 
-def lenient_double(c) -> Column:
-    return _c(c).try_cast("double")
-
-
 def to_bool(c) -> Column:
     """The reader's spellings of true and false to boolean, anything else NULL."""
     c = _c(c)

@@ -8,12 +8,12 @@ a filter plus the distributed dense id.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspark.functions.parsing import GENDERS, clean_list, coerce_enum
+from adspark.functions.parsing import GENDERS, clean_list, coerce_enum, force_bool
 from adspark.operators.keys import dense_ids, lookup_join
 from adspark.session import materialize
 
@@ -32,7 +32,6 @@ class Star:
     ad_impressions: DataFrame
     ad_clicks: DataFrame
     rejects: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
     def tables(self) -> dict[str, DataFrame]:
         return {t: getattr(self, t) for t in STAR_TABLES}
@@ -147,10 +146,12 @@ def build_impressions(resolved: DataFrame) -> DataFrame:
         F.col("ts").alias("impression_timestamp"), "bid_amount", "ad_cost", "ad_revenue")
 
 
-def build_clicks(resolved: DataFrame) -> DataFrame:
+def build_clicks(resolved: DataFrame, missing_is_clicked: bool = False) -> DataFrame:
     """D12 + D5: clicked events with a click time become clicks, numbered densely by
-    (click_timestamp, impression_id).  A NULL flag counts as not clicked (T2)."""
-    clicked = resolved.where(F.col("campaign_id").isNotNull() & F.col("was_clicked")
+    (click_timestamp, impression_id).  A NULL flag counts as not clicked (T2), or with
+    ``missing_is_clicked`` as clicked, as the reference's relational path reads it (C7)."""
+    flag = force_bool("was_clicked") if missing_is_clicked else F.col("was_clicked")
+    clicked = resolved.where(F.col("campaign_id").isNotNull() & flag
                              & F.col("click_ts").isNotNull()) \
         .select(F.col("event_id").alias("impression_id"), F.col("click_ts").alias("click_timestamp"))
     return dense_ids(clicked, ["click_timestamp", "impression_id"], "click_id") \

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,11 +33,12 @@ LAYOUTS = {
     "ad_clicks": {"range_by": ["click_timestamp"], "sort_by": ["click_timestamp"]},
     # one campaign, one user or a time window each reads few files
     "impression_clicks": {"z_order": ["campaign_id", "user_id", "impression_timestamp"], "bloom": ["campaign_id", "user_id"]},
-    "ad_sessions": {"range_by": ["user_id"], "sort_by": ["user_id", "device", "bucket"]},
+    "ad_sessions": {"range_by": ["user_id", "device", "bucket"], "sort_by": ["user_id", "device", "bucket"]},
     # I1-I5 in one table: one folder per rollup and day (region_spend has no day)
-    "rollups": {"range_by": ["rollup", "day"], "partition_by": ["rollup", "day"],
+    # ranged by the ids too, so that a rollup's day is more than one task where it is large
+    "rollups": {"range_by": ["rollup", "day", "region", "advertiser_id", "campaign_id", "user_id"], "partition_by": ["rollup", "day"],
                 "sort_by": ["region", "-total_spend", "-impressions"]},
-    "engagement_history": {"range_by": ["user_id"], "sort_by": ["user_id", "-timestamp"]},
+    "engagement_history": {"range_by": ["user_id", "timestamp"], "sort_by": ["user_id", "-timestamp"]},
 }
 
 
@@ -79,6 +81,11 @@ def build_all(raw: RawInputs) -> dict:
         "users_clean": normalize_users(raw.users),
     }
 
+    now = datetime.now(timezone.utc).replace(tzinfo=None)  # one time for the whole load (C21)
+
+    def loaded(df, name):
+        return df if name in ("countries", "interests") else df.withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
+
     def star(w):
         if "_star" not in w:
             w["_star"] = build_star(w["events_clean"], w["campaigns_clean"], w["users_clean"])
@@ -86,11 +93,11 @@ def build_all(raw: RawInputs) -> dict:
 
     for name in ["countries", "interests", "advertisers", "users", "campaigns", "users_interests",
                  "ad_clicks"]:
-        t[name] = (lambda n: lambda w: getattr(star(w), n))(name)
+        t[name] = (lambda n: lambda w: loaded(getattr(star(w), n), n))(name)
     t["rejects"] = lambda w: star(w).rejects
     # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
     # the impression fact is stored once, with its click: ad_impressions is a view of it
-    t["impression_clicks"] = lambda w: reports.join_clicks(star(w).ad_impressions, w["ad_clicks"])
+    t["impression_clicks"] = lambda w: loaded(reports.join_clicks(star(w).ad_impressions, w["ad_clicks"]), "ad_impressions")
     # the two small campaign lookups of the events view, built once
     t["campaign_names"] = lambda w: campaign_lookup(w["campaigns_clean"])
     t["campaign_attrs"] = lambda w: campaign_attrs(w["campaigns_clean"])
@@ -111,10 +118,14 @@ KEY_CHECKS = {
     "pk_ad_impressions": lambda w: quality.check_unique(w["impression_clicks"], ["impression_id"]),
     "unique_click_per_impression": lambda w: quality.check_unique(w["ad_clicks"], ["impression_id"]),
     "pk_ad_clicks": lambda w: quality.check_unique(w["ad_clicks"], ["click_id"]),
+    # a dimension key that stood twice would repeat the facts that join it
+    **{f"pk_{t}": (lambda t, k: lambda w: quality.check_unique(w[t], [k]))(t, k) for t, k in (
+        ("campaigns", "campaign_id"), ("users", "user_id"), ("advertisers", "advertiser_id"), ("countries", "country_id"),
+        ("interests", "interest_id"), ("campaign_names", "campaign_name"), ("campaign_attrs", "campaign_id"))},
 }
 VERIFIED_KEYS = "_verified_keys"
 IMPRESSION_COLUMNS = ["impression_id", "campaign_id", "user_id", "device", "location_id", "impression_timestamp",
-                      "bid_amount", "ad_cost", "ad_revenue"]
+                      "bid_amount", "ad_cost", "ad_revenue", "created_at"]
 
 
 def publish_warehouse(spark: SparkSession, raw: RawInputs, root: str, inputs: str | None = None) -> dict[str, DataFrame]:

@@ -118,10 +118,10 @@ def _dims(spark, sf_dir):
 
 
 def default_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C14: impression location -> country id, unknown -> 0."""
+    """C14: impression location -> country id, unknown and missing ones -> 0."""
     w, ev, ca, us = _dims(spark, sf_dir)
     countries = model.dim_countries(ev, us)
-    r = model.resolve_events(ev, model.campaign_lookup(ca), countries)
+    r = model.resolve_events(bridge.dirty_clean(w, "events_clean"), model.campaign_lookup(ca), countries)
     return r.select(F.col("event_id").alias("impression_id"), "location_id")
 
 
@@ -129,8 +129,8 @@ def rejects_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with an unknown campaign and campaigns with an unknown advertiser."""
     w, ev, ca, us = _dims(spark, sf_dir)
     adv = model.dim_advertisers(ev, ca)
-    _, camp_rejects = model.build_campaigns(ca, adv, w["interests"], w["countries"])
-    r = model.resolve_events(ev, model.campaign_lookup(ca), w["countries"])
+    _, camp_rejects = model.build_campaigns(bridge.dirty_clean(w, "campaigns_clean"), adv, w["interests"], w["countries"])
+    r = model.resolve_events(bridge.dirty_clean(w, "events_clean"), model.campaign_lookup(ca), w["countries"])
     ev_rejects = r.where(F.col("campaign_id").isNull()).select(
         F.lit("ad_events").alias("table"), F.col("event_id").alias("key"), F.lit("unknown campaign").alias("reason"))
     return camp_rejects.unionByName(ev_rejects)
@@ -181,6 +181,22 @@ def fact_clicks(spark, sf_dir):
     return model.build_clicks(model.resolve_events(ev, model.campaign_lookup(ca), w["countries"]))
 
 
+def fact_clicks_missing_flag(spark, sf_dir):
+    """The clicks where a missing flag counts as clicked."""
+    w, ev, ca, us = _dims(spark, sf_dir)
+    r = model.resolve_events(bridge.dirty_clean(w, "events_clean"), model.campaign_lookup(ca), w["countries"])
+    return model.build_clicks(r, missing_is_clicked=True)
+
+
+def load_times(spark, sf_dir):
+    """Rows of each star table, those without a load time, and how many loads they are from."""
+    w = warehouse(spark, sf_dir)
+    parts = [w[t].agg(F.lit(t).alias("table"), F.count(F.lit(1)).alias("rows"), F.count_if(F.col("created_at").isNull()).alias("missing"),
+                      F.countDistinct("created_at").alias("loads"))
+             for t in constraints.STAR if t not in ("countries", "interests")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- E: checks ------------------------------------------------------------------------
 def check_not_null(spark, sf_dir):
     """E1 on the dirty events: required time and cost."""
@@ -195,8 +211,8 @@ def check_unique(spark, sf_dir):
 
 
 def check_range(spark, sf_dir):
-    """User age in 1..120, targeting ages > 0."""
-    w = warehouse(spark, sf_dir)
+    """User age in 1..120, targeting ages > 0, over a star that breaks them."""
+    w = bridge.dirty_star(warehouse(spark, sf_dir))
     a = quality.check_range(w["users"], "age", ["user_id"], 1, 120)
     b = quality.check_range(w["campaigns"], "targeting_age_from", ["campaign_id"], 1) \
         .withColumnRenamed("campaign_id", "user_id")
@@ -214,8 +230,8 @@ def check_enum(spark, sf_dir):
 
 
 def check_fk(spark, sf_dir):
-    """E5 over the star's foreign keys."""
-    w = warehouse(spark, sf_dir)
+    """E5 over a star that breaks its foreign keys."""
+    w = bridge.dirty_star(warehouse(spark, sf_dir))
     parts = [
         quality.check_fk(w["users"], "country_id", w["countries"], "country_id", ["user_id"]),
         quality.check_fk(w["campaigns"], "advertiser_id", w["advertisers"], "advertiser_id", ["campaign_id"]),
@@ -223,6 +239,9 @@ def check_fk(spark, sf_dir):
         quality.check_fk(w["campaigns"], "targeting_country_id", w["countries"], "country_id", ["campaign_id"]),
         quality.check_fk(w["ad_impressions"], "campaign_id", w["campaigns"], "campaign_id", ["impression_id"]),
         quality.check_fk(w["ad_impressions"], "user_id", w["users"], "user_id", ["impression_id"]),
+        quality.check_fk(w["ad_impressions"], "location_id", w["countries"], "country_id", ["impression_id"]),
+        quality.check_fk(w["users_interests"], "user_id", w["users"], "user_id", ["user_id"]),
+        quality.check_fk(w["users_interests"], "interest_id", w["interests"], "interest_id", ["user_id"]),
         quality.check_fk(w["ad_clicks"], "impression_id", w["ad_impressions"], "impression_id", ["click_id"]),
     ]
     return _union_key(parts)
@@ -265,8 +284,12 @@ def check_fit(spark, sf_dir):
 
 
 def check_array_elements(spark, sf_dir):
-    """Session documents whose impressions miss a required field."""
-    s = warehouse(spark, sf_dir)["ad_sessions"]
+    """Session documents whose impressions miss a required field (every 150th has no
+    campaign, every 170th no time)."""
+    s = warehouse(spark, sf_dir)["ad_sessions"].withColumn("impressions", F.transform("impressions", lambda x: F.struct(
+        x["impression_id"].alias("impression_id"),
+        F.when(x["impression_id"].cast("bigint") % 150 != 0, x["campaign_id"]).alias("campaign_id"),
+        F.when(x["impression_id"].cast("bigint") % 170 != 0, x["timestamp"]).alias("timestamp"), x["clicked"].alias("clicked"))))
     return quality.check_array_elements(s, "impressions", ["impression_id", "campaign_id", "timestamp", "clicked"],
                                         ["user_id", "device", "bucket"])
 

@@ -180,3 +180,20 @@ def dirty_star(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The star with every kind of broken constraint."""
     return {name: tables[name].selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in tables[name].columns])
             for name, changes in DIRTY_STAR.items()}
+
+
+# What is wrong with the dirty clean tables (SQL that any engine reads): names that no dimension has, and none at all.
+DIRTY_CLEAN = {
+    "events_clean": {"location": "CASE WHEN CAST(event_id AS BIGINT) % 40 = 0 THEN 'ATLANTIS' "
+                                 "WHEN CAST(event_id AS BIGINT) % 41 = 0 THEN NULL ELSE location END",
+                     "campaign_name": "CASE WHEN CAST(event_id AS BIGINT) % 60 = 0 THEN 'Campaign_lost' "
+                                      "WHEN CAST(event_id AS BIGINT) % 61 = 0 THEN NULL ELSE campaign_name END",
+                     "was_clicked": "CASE WHEN CAST(event_id AS BIGINT) % 9 = 0 THEN NULL ELSE was_clicked END"},
+    "campaigns_clean": {"advertiser_name": "CASE WHEN campaign_id % 70 = 0 THEN 'Nobody' ELSE advertiser_name END"},
+}
+
+
+def dirty_clean(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """A clean table with the names and flags that cleaning lets through."""
+    changes = DIRTY_CLEAN[name]
+    return tables[name].selectExpr(*[f"{changes[c]} AS {c}" if c in changes else c for c in tables[name].columns])

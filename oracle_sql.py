@@ -8,7 +8,7 @@ impressions and clicks from ``events``, users from ``customer``.  Dense ids are
 
 from __future__ import annotations
 
-from adspark.sources.bridge import DIRTY_STAR  # the inputs' definition, not the engine's work
+from adspark.sources.bridge import DIRTY_CLEAN, DIRTY_STAR  # the inputs' definition, not the engine's work
 
 START, END, AS_OF, DAY = "2024-01-01", "2024-01-30", "2024-01-30", "2024-01-11"
 ONE = {"campaign_id": 11, "advertiser_id": 3, "user_id": 7}  # of the lookups by id
@@ -270,6 +270,9 @@ ORACLE["top_categories"] = q(f"""SELECT * FROM (
   SELECT user_id, category, clicks, CAST(row_number() OVER (PARTITION BY user_id ORDER BY clicks DESC, category) AS INTEGER) AS rank
   FROM (SELECT user_id, coalesce(campaign_interest, 'Unknown') AS category, COUNT(*) AS clicks
         FROM {_DOC} WHERE coalesce(was_clicked, false) GROUP BY ALL)) WHERE rank <= 3""")
+ORACLE["top_categories_unknown"] = ORACLE["top_categories"].replace(
+    "coalesce(campaign_interest, 'Unknown')", "CASE WHEN campaign_id % 5 = 0 THEN 'Unknown' ELSE coalesce(campaign_interest, 'Unknown') END")
+
 
 # ---- A, C, D: scans, cleaning, modelling ------------------------------------------------
 _TYPED = """SELECT CAST(e.event_id AS VARCHAR) AS event_id, CAST(e.user_id AS INTEGER) AS user_id, e.ts,
@@ -305,8 +308,24 @@ FROM bu""")
 _GENDERS = "('Male', 'Female', 'Non-Binary', 'Other', 'Prefer not to say')"
 ORACLE["coerce_gender"] = q(f"""SELECT user_id, raw_gender,
        CASE WHEN raw_gender IN {_GENDERS} THEN raw_gender ELSE 'Other' END AS gender FROM bu""")
-ORACLE["default_lookup"] = q("SELECT impression_id, location_id FROM ad_impressions")
-ORACLE["rejects_unmatched"] = q("""SELECT 'x' AS "table", 'x' AS key, 'x' AS reason FROM ev WHERE campaign_id IS NULL""")
+_DIRTY_EV = f"""dev AS (SELECT event_id, eid, k, user_id, click_ts, {", ".join(
+    f"{sql} AS {c}" for c, sql in DIRTY_CLEAN["events_clean"].items())}
+  FROM (SELECT be.*, bc.campaign_name FROM be LEFT JOIN bc ON bc.campaign_id = be.k + 1))"""
+_DIRTY_CA = f"""dca AS (SELECT campaign_id, {DIRTY_CLEAN["campaigns_clean"]["advertiser_name"]} AS advertiser_name FROM bc)"""
+ORACLE["default_lookup"] = q(f""", {_DIRTY_EV}
+SELECT event_id AS impression_id, coalesce(c.country_id, 0) AS location_id FROM dev LEFT JOIN countries c ON c.country_name = dev.location""")
+ORACLE["rejects_unmatched"] = q(f""", {_DIRTY_EV}, {_DIRTY_CA}
+SELECT 'ad_events' AS "table", event_id AS key, 'unknown campaign' AS reason FROM dev
+WHERE campaign_name IS NULL OR campaign_name NOT IN (SELECT campaign_name FROM bc)
+UNION ALL SELECT 'campaigns', CAST(campaign_id AS VARCHAR), 'unknown advertiser' FROM dca
+WHERE advertiser_name NOT IN (SELECT advertiser_name FROM advertisers)""")
+ORACLE["fact_clicks_missing_flag"] = q(f""", {_DIRTY_EV}
+SELECT row_number() OVER (ORDER BY click_ts, event_id) AS click_id, event_id AS impression_id, click_ts AS click_timestamp
+FROM dev WHERE coalesce(was_clicked, true) AND click_ts IS NOT NULL AND campaign_name IN (SELECT campaign_name FROM bc)""")
+ORACLE["load_times"] = q(""", users_interests AS (SELECT DISTINCT x.user_id, i.interest_id FROM (
+  SELECT user_id, trim(unnest(string_split(interests, ','))) AS name FROM bu) x JOIN interests i ON i.interest_name = x.name)
+""" + " UNION ALL ".join(f"""SELECT '{t}' AS "table", count(*) AS rows, CAST(0 AS BIGINT) AS missing, CAST(1 AS BIGINT) AS loads FROM {t}"""
+                         for t in ("users", "advertisers", "campaigns", "users_interests", "ad_impressions", "ad_clicks")))
 ORACLE["dim_advertisers"] = q("SELECT * FROM advertisers")
 ORACLE["dim_countries"] = q("SELECT * FROM countries")
 ORACLE["dim_interests"] = q("SELECT * FROM interests")
@@ -326,16 +345,10 @@ ORACLE["check_not_null"] = q("""SELECT event_id, 'not_null:ts' AS rule FROM be W
 UNION ALL SELECT event_id, 'not_null:ad_cost' FROM be WHERE eid % 97 = 0""")
 ORACLE["check_unique"] = """SELECT l_orderkey, l_linenumber, COUNT(*) AS copies, 'unique:l_orderkey,l_linenumber' AS rule
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
-ORACLE["check_range"] = q("""SELECT user_id AS id, CAST(age AS VARCHAR) AS value, 'range:age' AS rule FROM users
-WHERE age < 1 OR age > 120
-UNION ALL SELECT campaign_id, CAST(targeting_age_from AS VARCHAR), 'range:targeting_age_from' FROM campaigns
-WHERE targeting_age_from < 1""")
 ORACLE["check_enum"] = q(f"""SELECT CAST(user_id AS VARCHAR) AS id, raw_gender AS value, 'enum:gender' AS rule FROM bu
 WHERE raw_gender NOT IN {_GENDERS}
 UNION ALL SELECT impression_id, device, 'enum:device' FROM ad_impressions
 WHERE device NOT IN ('Mobile', 'Desktop', 'Tablet', 'Other')""")
-ORACLE["check_fk"] = q("""SELECT CAST(user_id AS VARCHAR) AS id, CAST(country_id AS VARCHAR) AS value, 'fk:country_id' AS rule
-FROM users WHERE country_id NOT IN (SELECT country_id FROM countries)""")
 ORACLE["cascade_delete"] = q("""SELECT 'campaigns' AS "table", COUNT(*) AS rows FROM campaigns WHERE advertiser_id <> 1
 UNION ALL SELECT 'ad_impressions', COUNT(*) FROM ad_impressions
   WHERE campaign_id NOT IN (SELECT campaign_id FROM campaigns WHERE advertiser_id = 1)
@@ -345,8 +358,8 @@ ORACLE["set_null_delete"] = q("""SELECT user_id, CASE WHEN country_id IN (
   SELECT country_id FROM countries WHERE country_name = 'NATION_0') THEN NULL ELSE country_id END AS country_id FROM users""")
 ORACLE["check_fit"] = """SELECT CAST(event_id AS VARCHAR) AS EventID, 'bad' AS value, 'type:Timestamp' AS rule
 FROM events WHERE event_id % 89 = 0"""
-ORACLE["check_array_elements"] = q("""SELECT user_id, device, 0 AS bucket, 'elements:impressions' AS rule
-FROM ev WHERE false""")
+ORACLE["check_array_elements"] = q(f"""SELECT user_id, device, 0 AS bucket, 'elements:impressions' AS rule
+FROM {_DOC} WHERE eid % 150 = 0 OR eid % 170 = 0 OR ts IS NULL GROUP BY user_id, device""")
 
 # ---- B, K: keyed writes, layout, publish, streaming ---------------------------------------
 ORACLE["upsert_latest"] = q(_I6)
@@ -434,6 +447,23 @@ ORACLE["star_violations"] = q(f""", {_BRIDGE}, {", ".join(_dirty_star(n) for n i
     _twice("campaigns", "advertiser_id", "campaign_name"), _twice("users_interests", "user_id", "interest_id"),
     _twice("ad_impressions", "impression_id"), _twice("ad_clicks", "click_id"), _twice("ad_clicks", "impression_id")]))
 
+_DS = ", ".join(_dirty_star(n) for n in DIRTY_STAR)
+ORACLE["check_range"] = q(f""", {_BRIDGE}, {_DS}
+SELECT user_id AS id, CAST(age AS VARCHAR) AS value, 'range:age' AS rule FROM d_users WHERE age < 1 OR age > 120
+UNION ALL SELECT campaign_id, CAST(targeting_age_from AS VARCHAR), 'range:targeting_age_from' FROM d_campaigns
+WHERE targeting_age_from < 1""")
+ORACLE["check_fk"] = q(f""", {_BRIDGE}, {_DS} SELECT key AS id, value, rule FROM (""" + " UNION ALL ".join([
+    _fk("users", "user_id", "country_id", "countries", "country_id"),
+    _fk("campaigns", "campaign_id", "advertiser_id", "advertisers", "advertiser_id"),
+    _fk("campaigns", "campaign_id", "targeting_interest_id", "interests", "interest_id"),
+    _fk("campaigns", "campaign_id", "targeting_country_id", "countries", "country_id"),
+    _fk("users_interests", "user_id", "user_id", "users", "user_id"),
+    _fk("users_interests", "user_id", "interest_id", "interests", "interest_id"),
+    _fk("ad_impressions", "impression_id", "campaign_id", "campaigns", "campaign_id"),
+    _fk("ad_impressions", "impression_id", "user_id", "users", "user_id"),
+    _fk("ad_impressions", "impression_id", "location_id", "countries", "country_id"),
+    _fk("ad_clicks", "click_id", "impression_id", "ad_impressions", "impression_id")]) + ")")
+
 ORACLE["delete_graph"] = q(f""", {_BRIDGE},
 co AS (SELECT * FROM countries WHERE country_id % 7 <> 0), ii AS (SELECT * FROM interests WHERE interest_id % 6 <> 0),
 ad AS (SELECT * FROM advertisers WHERE advertiser_id % 5 <> 0), us AS (SELECT * FROM users WHERE user_id % 11 <> 0),

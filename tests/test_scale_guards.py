@@ -48,7 +48,7 @@ def test_dense_ids_with_hot_prefix(spark):
 def test_registered_plans_stay_in_the_jvm_and_types_match_oracle(spark):
     import duckdb
     con = duckdb.connect()
-    for t in ["nation", "customer", "part", "events", "lineitem"]:
+    for t in ["nation", "customer", "part", "events", "lineitem", "orders"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     as_duck = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
                "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
