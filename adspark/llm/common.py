@@ -6,6 +6,7 @@ from __future__ import annotations
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,9 +19,10 @@ from adspark.session import materialize, scratch_path
 WS = " \t\n\x0b\x0c\r"  # what separates words in every operator: \x20 and \x09-\x0D
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 16 << 20
+ARROW_ROWS = 1024  # of whole texts in a batch sent to a worker
 
 __all__ = ["WS", "documents", "embeddings", "pages", "map_rows", "sorted_runs", "materialize", "fresh_path",
-           "small_enough", "connected_components", "release", "sql_lit"]
+           "small_enough", "connected_components", "release", "sql_lit", "arrow_rows"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +86,19 @@ def small_enough(df: DataFrame, width: Column, max_rows: int = BROADCAST_ROWS, m
     return n <= max_rows and (size or 0) <= max_bytes
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Steps that run inside send at most ``rows`` rows at a time to the workers.  The default
+    of 10,000 whole texts takes tens of MB outside the heap, twice while a batch grows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove the shuffle files and checkpoints that nothing refers to
     any more.  It acts when the driver collects garbage, which an idle driver may not do

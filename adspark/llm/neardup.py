@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspark.llm.common import arrow_schema, connected_components, map_rows, materialize, release, small_enough, sorted_runs
+from adspark.llm.common import arrow_rows, arrow_schema, connected_components, map_rows, materialize, release, small_enough, sorted_runs
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -283,7 +283,8 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARG
     """Materialised rows ``doc_id, key`` and classes of equal words ``key, root, copies,
     copy_id, docs, texts``; ``root`` names the class of near duplicates."""
     rows = _rows(docs)
-    light = materialize(signed(rows))
+    with arrow_rows(docs.sparkSession):
+        light = materialize(signed(rows))
     classes = materialize(light.filter("key IS NOT NULL").groupBy("key", "size", "sig")
                           .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("copy_id"))
                           .withColumn("node", F.xxhash64("key")))
@@ -294,7 +295,8 @@ def classify(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARG
     if small_enough(wanted, F.lit(16), max_rows=300_000):
         wanted = F.broadcast(wanted)
     texts = rows.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("words").alias("words"))
-    links = materialize(verified_links(components, texts, threshold))
+    with arrow_rows(docs.sparkSession):
+        links = materialize(verified_links(components, texts, threshold))
     release(links.sparkSession)
     roots = connected_components(links.select(F.col("key").alias("a"), F.col("root").alias("b")))
     counts = links.groupBy("key").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspark.llm.common import arrow_schema, map_rows, materialize
+from adspark.llm.common import arrow_rows, arrow_schema, map_rows, materialize
 from adspark.llm.tokens import word_ids
 
 SEQ_LEN = 2048
@@ -139,4 +139,6 @@ def pack(items: DataFrame, limit: int = SEQ_LEN, bound: int = OPEN_SEQUENCES) ->
 
 def best_fit_packing(docs: DataFrame, vocab: str, limit: int = SEQ_LEN, bound: int = OPEN_SEQUENCES) -> DataFrame:
     """Packed pieces of ``docs (doc_id, text)``: one row per piece with its place."""
-    return pack(materialize(pieces(docs, vocab, limit)), limit, bound)
+    with arrow_rows(docs.sparkSession):
+        cut_up = materialize(pieces(docs, vocab, limit))
+    return pack(cut_up, limit, bound)
