@@ -19,6 +19,14 @@ IMPRESSION_FIELDS = ["impression_id", "campaign_id", "campaign_interest", "campa
                      "click_events"]
 
 
+def _unwind(docs: DataFrame, keep: list[str], fields: list[str]) -> DataFrame:
+    """One row an impression with ``keep`` of its document and some of its own fields.  The
+    fields' arrays are zipped, not the array of whole impressions unwound, since that is what
+    reaches the scan: only these fields are read from the files."""
+    zipped = F.arrays_zip(*[F.col(f"impressions.{f}") for f in fields])
+    return docs.select(*keep, F.explode(zipped).alias("_i")).select(*keep, *[F.col(f"_i.{f}").alias(f) for f in fields])
+
+
 def sample_user(sessions: DataFrame, seed: int = 0) -> DataFrame:
     """H9: one session drawn by a seeded hash order (so users weigh by session count),
     returned as its ``user_id`` (a one-row frame, used as a semi-join key)."""
@@ -74,7 +82,7 @@ def clicks_per_hour(sessions: DataFrame, day: str, advertiser_id: int | None = N
     lo = F.lit(day).cast("timestamp_ntz")
     hi = F.date_add(F.lit(day).cast("date"), 1).cast("timestamp_ntz")
     s = sessions.where((F.col("session_start") < hi) & (F.col("session_end") >= lo))  # row-group skipping
-    x = s.select(F.explode("impressions").alias("i")).select("i.*")
+    x = _unwind(s, [], ["advertiser_id", "campaign_id", "timestamp", "clicked"])
     x = x.where(F.col("clicked") & (F.col("timestamp") >= lo) & (F.col("timestamp") < hi))
     if advertiser_id is not None:
         x = x.where(F.col("advertiser_id") == F.lit(advertiser_id))
@@ -88,9 +96,8 @@ def repeated_no_click(sessions: DataFrame, threshold: int = 5, ad_key: str = "ca
     One row per pair (the reference lists the ads per user; a list per user would
     gather an unbounded group into one row).  ``ad_key='impression_id'`` is the
     reference's literal grouping, which never matches after de-duplication (T9)."""
-    x = sessions.select("user_id", F.explode("impressions").alias("i"))
-    per = x.groupBy("user_id", F.col("i." + ad_key).alias(ad_key)).agg(
-        F.count(F.lit(1)).alias("impressions"), F.max(F.col("i.clicked")).alias("_clicked"))
+    x = _unwind(sessions, ["user_id"], [ad_key, "clicked"])
+    per = x.groupBy("user_id", ad_key).agg(F.count(F.lit(1)).alias("impressions"), F.max("clicked").alias("_clicked"))
     return per.where((F.col("impressions") >= threshold) & ~F.col("_clicked")).drop("_clicked")
 
 
@@ -100,8 +107,8 @@ def top_categories(sessions: DataFrame, user_id: int | None = None, k: int = 3,
     interest shows as 'Unknown' (H15).  ``fanout_compat`` multiplies counts by the
     user's session count, as the reference's self-lookup does (T8)."""
     s = sessions if user_id is None else sessions.where(F.col("user_id") == F.lit(user_id))
-    x = s.select("user_id", F.explode("impressions").alias("i")).where(F.col("i.clicked"))
-    per = x.groupBy("user_id", F.coalesce(F.col("i.campaign_interest"), F.lit(UNKNOWN_CATEGORY)).alias("category")) \
+    x = _unwind(s, ["user_id"], ["campaign_interest", "clicked"]).where("clicked")
+    per = x.groupBy("user_id", F.coalesce("campaign_interest", F.lit(UNKNOWN_CATEGORY)).alias("category")) \
         .agg(F.count(F.lit(1)).alias("clicks"))
     if fanout_compat:
         n = s.select("user_id", "device").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -137,7 +144,6 @@ def day_sequence(docs: DataFrame) -> DataFrame:
 
 def clicks_per_hour_of_days(docs: DataFrame, day: str) -> DataFrame:
     """H6 over day documents: documents of other days are not read."""
-    x = docs.where(F.col("day") == F.lit(day).cast("date")).select(F.explode(F.transform("impressions", lambda i: F.struct(
-        i["advertiser_id"].alias("advertiser_id"), i["campaign_id"].alias("campaign_id"), i["timestamp"].alias("timestamp"),
-        i["clicked"].alias("clicked")))).alias("i")).select("i.*").where("clicked")
+    x = _unwind(docs.where(F.col("day") == F.lit(day).cast("date")), [],
+                ["advertiser_id", "campaign_id", "timestamp", "clicked"]).where("clicked")
     return x.groupBy("advertiser_id", "campaign_id", F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("clicks"))

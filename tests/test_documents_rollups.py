@@ -102,3 +102,30 @@ def test_all_rollups_equal_single_rollups(spark):
         got = split[name]
         assert sorted(got.columns) == sorted(df.columns), name
         assert sorted(got.select(*df.columns).collect()) == sorted(df.collect()), name
+
+
+def test_day_documents_are_bounded_and_in_order(spark, tmp_dir):
+    """A session with nearly all rows: no document above the bound, every impression in its place."""
+    import re
+    rows = [ev(f"{i:05d}", 1, "Mobile", 1 + i % 2, (i * 7) % 500, clicked=(i % 10 == 0), day=1 + i % 3) for i in range(3000)]
+    rows += [ev(90000 + i, 2, "Tablet", 2, i, clicked=True) for i in range(5)]
+    table = events(spark, rows)
+    docs = documents.build_session_days(table, most=100)
+    assert max(r["n"] for r in docs.select("n").collect()) <= 100
+    docs.write.partitionBy("day").parquet(tmp_dir + "/d")
+    stored = spark.read.parquet(tmp_dir + "/d")
+    seq = {}
+    for r in H.day_sequence(stored).collect():
+        seq[r["user_id"], r["device"], str(r["day"]), r["seq"]] = r["impression_id"]
+    want, count = {}, {}
+    for r in sorted(rows, key=lambda r: (r[1], r[2], r[10], r[0])):
+        key = (r[1], r[2], str(r[10].date()))
+        count[key] = count.get(key, 0) + 1
+        want[(*key, count[key])] = r[0]
+    assert seq == want
+    bucketed = documents.build_sessions(table, bucket_size=100)
+    same = lambda df: sorted(map(tuple, df.collect()))
+    assert same(H.clicks_per_hour_of_days(stored, "2024-01-01")) == same(H.clicks_per_hour(bucketed, "2024-01-01"))
+    # a question reads the fields that it asks for
+    read = re.search("ReadSchema: (.*)", H.top_categories(stored.drop("day"))._jdf.queryExecution().executedPlan().toString())[1]
+    assert "campaign_interest" in read and "ad_cost" not in read and "location" not in read
