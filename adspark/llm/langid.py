@@ -4,10 +4,13 @@ A text is lower-cased, everything but letters counts as a gap, and its character
 3-grams are hashed into ``DIMS`` counters; the vector is sqrt(count) x IDF, of length one.
 Each language has several centroids (spherical k-means over its labelled texts).  A text
 gets the language of the centroid with the highest cosine; it is rejected when that cosine
-is below the language's limit, a fraction of what its own labelled texts reach.
+is below the language's limit.  The limit comes from the language's own labelled texts: a
+little below what nearly all of them reach, and at most half of what they usually reach, so
+that a language with copies of few texts alone does not reject all others.
 
-The fit uses a bounded sample: at most ``SAMPLE_DOCS`` labelled documents in all, divided
-evenly over the languages and chosen by a hash of doc_id, never of the text's length.  Only
+The fit uses a bounded sample: the ``MOST_LANGUAGES`` commonest values of ``lang`` are learned,
+from ``SAMPLE_DOCS`` labelled documents with a letter in all, divided evenly (though at least
+``LEAST_PER_LANGUAGE`` each) and chosen by a hash of doc_id, never of the text's length.  Only
 these vectors reach the driver.  Prediction is one pass over whole texts with no shuffle,
 texts in slices of bounded length.
 
@@ -33,11 +36,14 @@ from adspark.llm.common import arrow_schema
 DIMS = 2048
 SAMPLE_DOCS = 2400
 LEAST_PER_LANGUAGE = 20
+MOST_LANGUAGES = 200
 CENTROIDS = 4
 ROUNDS = 10
 SLICE = 1 << 18          # characters of a text handled at once
-REJECT_SHARE = 0.3       # a text is rejected below this share of its language's usual cosine ...
-REJECT_CHARS = 80        # ... which is eased for texts with fewer letters than this
+REJECT_QUANTILE = 0.005  # of a language's labelled texts; a text is rejected below ...
+REJECT_EASE = 0.8        # ... this share of the cosine that the others reach, or ...
+REJECT_SHARE = 0.5       # ... this share of their median, whichever is less ...
+REJECT_CHARS = 80        # ... eased for texts with fewer letters than this
 UNKNOWN = "und"
 
 _LETTERS: list = []
@@ -46,7 +52,7 @@ _LETTERS: list = []
 def _letters() -> np.ndarray:
     if not _LETTERS:
         table = np.zeros(0x110000, dtype=bool)
-        table[[c for c in range(0x30000) if chr(c).isalpha()]] = True
+        table[[c for c in range(0x110000) if chr(c).isalpha()]] = True
         _LETTERS.append(table)
     return _LETTERS[0]
 
@@ -91,6 +97,11 @@ def vectors(texts: list[str | None], idf: np.ndarray | None) -> tuple[np.ndarray
     return out / np.where(norm > 0, norm, 1), letters
 
 
+def _ease(letters: np.ndarray) -> np.ndarray:
+    """How much of a whole text's cosine a text with so many letters is held to."""
+    return np.minimum(1.0, np.sqrt(letters / REJECT_CHARS))
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -106,7 +117,7 @@ class Model:
         near = vec @ self.centroids.T
         best = near.argmax(axis=1)
         lang, score = self.language[best], near[np.arange(len(texts)), best]
-        eased = self.limits[lang] * np.minimum(1.0, np.sqrt(letters / REJECT_CHARS))
+        eased = self.limits[lang] * _ease(letters)
         known = letters > 0
         return ([self.languages[k] if ok else UNKNOWN for k, ok in zip(lang, known)],
                 [float(min(1.0, max(0.0, s))) if ok else 0.0 for s, ok in zip(score, known)],
@@ -132,23 +143,23 @@ def held_out() -> F.Column:
 
 def fit(docs: DataFrame) -> Model:
     """The model of the labelled documents that are not held out."""
-    labelled = docs.select("doc_id", "lang").filter(
-        "doc_id IS NOT NULL AND lang IS NOT NULL").filter(~held_out()).distinct()
-    n_languages = labelled.select(F.count_distinct("lang")).first()[0]
-    if not n_languages:
+    usable = docs.select("doc_id", "lang", "text").filter("doc_id IS NOT NULL AND lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    labelled = usable.filter(~held_out()).select("doc_id", "lang").distinct()
+    common = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows")).orderBy(F.desc("_rows"), "lang") \
+        .limit(MOST_LANGUAGES).collect()
+    if not common:
         return Model([], np.ones(DIMS, np.float32), np.zeros((0, DIMS), np.float32), np.zeros(0, int), np.zeros(0))
-    each = max(LEAST_PER_LANGUAGE, SAMPLE_DOCS // n_languages)
+    each = max(LEAST_PER_LANGUAGE, SAMPLE_DOCS // len(common))
     # of a language with many rows only those with small hashes, several times as many as wanted, are ranked
-    share = labelled.groupBy("lang").agg((F.lit(4.0 * each) / F.count(F.lit(1))).alias("_share"))  # a row per language
+    share = docs.sparkSession.createDataFrame([(r["lang"], 4.0 * each / r["_rows"]) for r in common], "lang string, _share double")
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
     chosen = (labelled.withColumn("_h", F.xxhash64("doc_id")).join(F.broadcast(share), "lang")
               .filter(F.pmod("_h", F.lit(1 << 30)) < F.col("_share") * F.lit(1 << 30))
               .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("doc_id", "lang"))
-    texts = (docs.select("doc_id", "lang", "text").filter("text IS NOT NULL")
-             .join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``each`` rows a language
+    texts = (usable.join(F.broadcast(chosen), ["doc_id", "lang"])  # at most ``each`` rows a language
              .groupBy("doc_id", "lang").agg(F.max("text").alias("text")))
 
-    schema = "doc_id bigint, lang string, vec binary"
+    schema = "doc_id bigint, lang string, letters bigint, vec binary"
     target = arrow_schema(schema)
 
     def run(batches):
@@ -157,7 +168,7 @@ def fit(docs: DataFrame) -> Model:
             for at in range(0, len(rows["text"]), 64):
                 vec, letters = vectors(rows["text"][at:at + 64], None)
                 yield pa.RecordBatch.from_pydict(
-                    {"doc_id": rows["doc_id"][at:at + 64], "lang": rows["lang"][at:at + 64],
+                    {"doc_id": rows["doc_id"][at:at + 64], "lang": rows["lang"][at:at + 64], "letters": letters,
                      "vec": [v.astype("<f4").tobytes() if n else None for v, n in zip(vec, letters)]},
                     schema=target)
 
@@ -172,9 +183,14 @@ def fit(docs: DataFrame) -> Model:
     vec /= np.linalg.norm(vec, axis=1, keepdims=True)
     languages = sorted({r["lang"] for r in got})
     centers = [_cluster(vec[lang == name], CENTROIDS) for name in languages]
-    usual = [np.median((vec[lang == name] @ c.T).max(axis=1)) for name, c in zip(languages, centers)]
+    letters = np.array([r["letters"] for r in got])
+    limits = []
+    for name, c in zip(languages, centers):
+        near = (vec[lang == name] @ c.T).max(axis=1)
+        low = np.quantile(near / _ease(letters[lang == name]), REJECT_QUANTILE)
+        limits.append(min(REJECT_EASE * low, REJECT_SHARE * np.median(near)))
     return Model(languages, idf, np.concatenate(centers).astype(np.float32),
-                 np.repeat(np.arange(len(languages)), [len(c) for c in centers]), REJECT_SHARE * np.array(usual))
+                 np.repeat(np.arange(len(languages)), [len(c) for c in centers]), np.array(limits))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

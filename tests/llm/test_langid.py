@@ -1,3 +1,5 @@
+import base64
+import random
 import zlib
 
 import numpy as np
@@ -55,3 +57,64 @@ def test_awkward_rows(spark):
     assert langid.op2(docs(spark, [])).count() == 0
     unlabelled = langid.op2(docs(spark, [(1, "some text", None, None, None)])).collect()
     assert [tuple(r) for r in unlabelled] == [(1, False, "und", 0.0, True)]
+
+
+def naive_vector(text, idf):
+    """sqrt(count) x IDF of the hashed grams, of length one, gram by gram."""
+    gap = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    if not gap:
+        return None
+    padded = f" {gap} "
+    grams = [c for c in gap if c != " "] + [padded[i:i + n] for n in (2, 3) for i in range(len(padded) - n + 1)]
+    v = np.zeros(langid.DIMS)
+    for g in grams:
+        h = len(g)
+        for k, c in enumerate(reversed(g)):
+            h += ord(c) * 31 ** k
+        h = h * 2654435761 & 0xFFFFFFFF
+        v[(h ^ h >> 15) & (langid.DIMS - 1)] += 1
+    v = np.sqrt(v) * idf
+    return v / np.linalg.norm(v)
+
+
+def test_prediction_against_naive_nearest_centroid(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(table)
+    texts = [r["text"] for r in table.limit(300).collect()] + ["Ünïcode Straße ÉCOLE", "x", "", "1 2 3"]
+    pred, score, rejected = model.predict(texts)
+    for text, p, s, no in zip(texts, pred, score, rejected):
+        v = naive_vector(text, model.idf)
+        if v is None:
+            assert (p, s, no) == ("und", 0.0, True)
+            continue
+        near = [float(v @ c) for c in model.centroids]
+        k = int(np.argmax(near))
+        assert abs(s - near[k]) < 1e-4
+        top = sorted(near)[-2:]
+        assert p == model.languages[model.language[k]] or top[1] - top[0] < 1e-4
+        limit = model.limits[model.language[k]] * min(1.0, np.sqrt(sum(c.isalpha() for c in text.lower()) / langid.REJECT_CHARS))
+        assert no == (s < limit) or abs(s - limit) < 1e-4
+
+
+def test_random_and_unlearned_text_is_rejected(spark):
+    """Text of the same script that is no learned language: random letters, base64, other languages."""
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.fit(table)
+    r = random.Random(1)
+    other = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n)) for n in (100, 500)]
+    other += [base64.b64encode(r.randbytes(n)).decode() for n in (500, 3000)]
+    other += ["Gallia est omnis divisa in partes tres quarum unam incolunt Belgae aliam Aquitani tertiam qui ipsorum lingua " * 3,
+              "Litwo ojczyzno moja ty jestes jak zdrowie ile cie trzeba cenic ten tylko sie dowie kto cie stracil " * 3,
+              "Korkma sonmez bu safaklarda yuzen al sancak sonmeden yurdumun ustunde tuten en son ocak " * 3,
+              "Mieleni minun tekevi aivoni ajattelevi lahteani laulamahan saa ani sanelemahan sukuvirtta " * 3]
+    assert all(model.predict(other)[2])
+    texts = [x["text"] for x in table.filter("doc_id % 3 = 0").select("text").collect() if any(c.isalpha() for c in x["text"] or "")]
+    assert sum(model.predict(texts)[2]) <= 0.001 * len(texts)
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    rows = [(i, f"text number {i} words", f"l{i % 40 if i > 60 else i % 3}", None, None) for i in range(200)]
+    rows += [(900 + i, None if i % 2 else "123", "l99", None, None) for i in range(500)]  # no letter: nothing to learn
+    model = langid.fit(docs(spark, rows))
+    assert model.languages == ["l0", "l1", "l2"]
