@@ -93,7 +93,7 @@ def asof_totals(daily: DataFrame, keys: list[str], measure: str, days: int = 31)
     over these changes give a key's total from each change to the next.  So a day is read
     once, not ``days`` times, and a key's window holds two rows a day of its own at most.
     ``daily`` has a ``day`` and one row per key and day or more."""
-    first, last = daily.agg(F.min("day"), F.max("day")).first()  # one row
+    end = F.lit(daily.agg(F.max("day")).first()[0]).cast("date")  # one row
     rows = daily.where(F.col("day").isNotNull()).select(*keys, "day", F.col(measure).alias("_v"))
     change = lambda day, sign: rows.select(*keys, day.alias("day"), (F.col("_v") * sign).alias("_v"), F.lit(sign).alias("_n"))
     changes = (change(F.col("day"), 1).unionAll(change(F.date_add("day", days), -1))
@@ -102,8 +102,8 @@ def asof_totals(daily: DataFrame, keys: list[str], measure: str, days: int = 31)
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     spans = changes.select(*keys, "day", F.sum("_v").over(so_far).alias("total"), F.sum("_n").over(so_far).alias("_n"),
                            F.date_sub(F.lead("day").over(w), 1).alias("_until"))
-    spans = spans.where((F.col("_n") > 0) & (F.col("day") <= F.lit(last)))  # the last change leaves nothing
-    return spans.select(F.explode(F.sequence("day", F.least("_until", F.lit(last)))).alias("as_of"), *keys, "total")
+    spans = spans.where((F.col("_n") > 0) & (F.col("day") <= end))  # the last change leaves nothing
+    return spans.select(F.explode(F.sequence("day", F.least("_until", end))).alias("as_of"), *keys, "total")
 
 
 def top_asof(totals: DataFrame, id_col: str, k: int, within: list[str] | None = None) -> DataFrame:

@@ -100,6 +100,7 @@ def test_totals_of_every_as_of_day(spark):
             if d is not None and d + datetime.timedelta(i) <= last:
                 want[d + datetime.timedelta(i), k] += v
     assert {(x["as_of"], x["k"]): x["total"] for x in got.collect()} == want
+    assert rollups.asof_totals(spark.createDataFrame([], "k string, day date, v int"), ["k"], "v").count() == 0
     top = rollups.top_asof(got, "k", 1).collect()
     assert len(top) == len({d for d, _ in want}) and all(x["total"] == max(v for (d, _), v in want.items() if d == x["as_of"]) for x in top)
 
