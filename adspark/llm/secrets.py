@@ -3,11 +3,10 @@
 Base kinds are fixed patterns (assignments, access keys, hex runs).  The method adds spans
 by two character Markov models, of random strings and of ordinary identifiers: the log of a
 token's probability under the one less that under the other must be high per character.
-Both are trained from labelled samples: values that the base patterns found (random) and the
-other tokens of the same texts (ordinary), by bigram counts over about ``TRAIN_DOCS``
-documents, chosen by a hash of the row.  The models decide on every token with a letter or
-digit; rulers (``====``) are none.  The least ratio is set on the same sample for each class of
-tokens (without a letter, with one): ``MARGIN`` above that of
+Both are trained on every document: values that the base patterns found (random) and the
+other tokens of the texts (ordinary), by bigram counts.  The models decide on every token with
+a letter or digit; rulers (``====``) are none.  The least ratio is set on the same tokens for
+each class of them (without a letter, with one): ``MARGIN`` above that of
 all but ``ORDINARY_SHARE`` of the class's ordinary long tokens, and ``MARGIN`` at least.  A
 class with fewer than ``LEAST_TOKENS`` of those takes the limit of all ordinary long tokens if
 it has as many random ones, and else adds no span; with fewer than ``LEAST_TOKENS`` random ones
@@ -41,7 +40,6 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 KINDS = ("assign", "access", "hex", "markov")
 
-TRAIN_DOCS = 10_000     # documents of the labelled sample, about
 TOKEN = "[A-Za-z0-9+/_=-]"
 MIN_TOKEN = 16          # candidate tokens are this long at least
 LEAST_TOKENS = 20       # labelled tokens that a limit is set by
@@ -114,13 +112,10 @@ def _masked(rows: DataFrame) -> DataFrame:
     return out.withColumn("__h2", F.expr(_base("__r2")["hex"])).withColumn("__rest", F.expr(_blanked("__r2", "__h2")))
 
 
-def train(docs: DataFrame, sample: int = TRAIN_DOCS) -> tuple[list[float], list[float]]:
+def train(docs: DataFrame) -> tuple[list[float], list[float]]:
     """Log ratios of the two models by (character, next character), 128 x 128, and for each
-    class the least ratio a character of a random token (infinite: none is)."""
-    n_docs = docs.count()
-    part = docs if n_docs <= sample else docs.filter(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int((1 << 30) * sample / n_docs))
-    rows = _masked(_scanned(part.select("doc_id", "text")))
+    class the least ratio a character of a random token (infinite: none is), from all of ``docs``."""
+    rows = _masked(_scanned(docs.select("text")))
     random = "concat(coalesce(regexp_extract_all(array_join(coalesce(__assign.m, array()), '\\n'), " \
              f"{_quoted(ASSIGN)}, 2), array()), coalesce(__access.m, array()), coalesce(__hex.m, array()))"
     ordinary = f"regexp_extract_all(__rest, '{TOKEN}{{8,}}', 0)"

@@ -177,3 +177,15 @@ def test_ordinary_numbers_stay(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in table.select("doc_id", "text").collect()}
     spans = [s.split(":") + [r["doc_id"]] for r in secrets.scan(table).collect() for s in r["spans"].split(",") if "markov" in s]
     assert not [s for s in spans if texts[s[3]][int(s[1]):int(s[2])].isdigit()]
+
+
+def test_models_are_trained_on_every_document(spark):
+    """Rows of 12,000 documents: each counts, in the ratios and in the limits."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz_", k=r.randint(8, 20)))
+    rows = [(i, f"{word()} {word()}" + (f" token={word().upper()}{i}" if i % 50 == 0 else "")) for i in range(12_000)]
+    mean, limits = models([t for _, t in rows])
+    table, least = secrets.train(docs(spark, rows, extra=False))
+    assert least == pytest.approx(limits)
+    pairs = [a + b for a in "abcxyz_" for b in "abcxyz_"]
+    assert [table[ord(a) * 128 + ord(b)] for a, b in pairs] == pytest.approx([2 * mean(p) for p in pairs], abs=2e-4)
