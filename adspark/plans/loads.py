@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from adspark.functions.parsing import DEVICES, GENDERS, clean_list, coerce_enum, iso_or_epoch, list_keep_blanks, \
     zero_default
 from adspark.operators import constraints, documents, merge, model, quality, rollups
-from adspark.operators.clean import exact_dedup, key_dedup_first, normalize_events, null_tokens
+from adspark.operators.clean import exact_dedup, key_dedup_first, normalize_campaigns, normalize_events, null_tokens
 from adspark.plans import reports
 from adspark.plans.catalog import warehouse
 from adspark.plans.documents import day_sequence, document_report
@@ -478,13 +478,17 @@ def session_days(spark, sf_dir):
 
 
 # ---- K: streaming ---------------------------------------------------------------------
+def _campaign_of(spark, sf_dir):
+    """Campaign name -> id, from the clean campaigns: of the load's tables the streams need no other."""
+    return model.campaign_lookup(normalize_campaigns(bridge.raw_campaigns(spark, sf_dir)))
+
+
 def stream_campaign_day(spark, sf_dir):
     """K1 + K2: the events file as a stream -> de-duplicated, windowed campaign-day
     counters (availableNow), read back as the latest row per window."""
     from adspark.streaming.counters import current_counters, run_campaign_day, events_file_stream
-    w = warehouse(spark, sf_dir)
     run = _fresh(spark, "stream")
-    q = run_campaign_day(spark, events_file_stream(spark, sf_dir), model.campaign_lookup(w["campaigns_clean"]),
+    q = run_campaign_day(spark, events_file_stream(spark, sf_dir), _campaign_of(spark, sf_dir),
                          run + "/out", run + "/checkpoint")
     q.awaitTermination()
     return current_counters(spark, run + "/out")
@@ -497,7 +501,7 @@ def stream_with_late(spark, sf_dir, root: str | None = None):
     late log.  Returns the counters and, by campaign and day, how many rows came late."""
     from adspark.streaming.counters import events_file_stream, read_counters, read_late, run_counted
     ev = bridge.read_table(spark, sf_dir, "events")
-    lookup = model.campaign_lookup(warehouse(spark, sf_dir)["campaigns_clean"])
+    lookup = _campaign_of(spark, sf_dir)
     root = root or _fresh(spark, "counted")
     first, second = "ts < TIMESTAMP_NTZ'2024-01-11'", "ts < TIMESTAMP_NTZ'2024-01-21'"
     arrivals = [f"{first} AND event_id % 10 <> 0",
