@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from adspark.functions.parsing import DEVICES, GENDERS
-from adspark.operators.keys import sized_broadcast
+from adspark.operators.keys import lookup_side
 from adspark.session import materialize
 
 CASCADE, SET_NULL = "cascade", "set null"
@@ -94,7 +94,7 @@ def _with_parents(tables: dict[str, DataFrame], name: str, spec: Constraints) ->
     for n, r in enumerate(spec.references):
         # a key that stands twice must not multiply its children
         parents = tables[r.parent].select(F.col(r.parent_key).alias(f"__parent_{n}")).distinct()
-        out = out.join(sized_broadcast(parents), F.col(r.column) == F.col(f"__parent_{n}"), "left")
+        out = out.join(lookup_side(parents), F.col(r.column) == F.col(f"__parent_{n}"), "left")
     return out
 
 
@@ -153,7 +153,7 @@ def delete_rows(tables: dict[str, DataFrame], doomed: dict[str, DataFrame],
         nulled = {}
         for n, r in enumerate([r for r in s.references if r.parent in gone]):
             flag = f"__gone_{n}"
-            rows = rows.join(sized_broadcast(gone[r.parent].select(F.col(r.parent_key).alias(flag))),
+            rows = rows.join(lookup_side(gone[r.parent].select(F.col(r.parent_key).alias(flag))),
                              F.col(r.column) == F.col(flag), "left")
             if r.on_delete == CASCADE:
                 dead = dead | F.col(flag).isNotNull()
@@ -161,7 +161,7 @@ def delete_rows(tables: dict[str, DataFrame], doomed: dict[str, DataFrame],
                 nulled[r.column] = F.when(F.col(flag).isNull(), F.col(r.column)).alias(r.column)
         if name in doomed:
             own = doomed[name].select(F.col(s.key[0]).alias("__own")).distinct()
-            rows = rows.join(sized_broadcast(own), F.col(s.key[0]) == F.col("__own"), "left")
+            rows = rows.join(lookup_side(own), F.col(s.key[0]) == F.col("__own"), "left")
             dead = dead | F.col("__own").isNotNull()
         if name in parents and (name in doomed or any(r.parent in gone and r.on_delete == CASCADE for r in s.references)):
             gone[name] = materialize(rows.where(dead).select(s.key[0]).distinct())

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType, TimestampNTZType
 
 from adspark.functions.parsing import list_keep_blanks
-from adspark.operators.keys import sized_broadcast
+from adspark.operators.keys import lookup_side
 
 DEFAULT_BUCKET = 1000
 CLICK_EVENT = StructType([StructField("click_timestamp", TimestampNTZType(), True)])
@@ -59,7 +59,7 @@ def build_sessions(events: DataFrame, bucket_size: int = DEFAULT_BUCKET) -> Data
         F.count(F.lit(1)).alias("n"))
     sessions = sessions.select(*keys, "session_start", "session_end",
                                F.ceil(F.col("n") / F.lit(bucket_size)).cast("int").alias("n_buckets"))
-    tagged = ev.join(sized_broadcast(sessions), keys)  # one row per session; shuffle join beyond the bound
+    tagged = ev.join(lookup_side(sessions), keys)  # one row per session; shuffle join beyond the bound
     tagged = tagged.withColumn("bucket", F.pmod(F.xxhash64("event_id"), F.col("n_buckets")).cast("int"))
     docs = tagged.groupBy(*keys, "bucket").agg(
         F.first("session_start").alias("session_start"), F.first("session_end").alias("session_end"),

@@ -10,9 +10,9 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 
 from adspark.session import materialize
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 << 10    # compressed: a thousandfold of it in memory is still the bound below
-DEFAULT_BROADCAST_MEMORY = 64 << 20   # bytes of the rows themselves
+DEFAULT_BROADCAST_ROWS = 50_000       # every broadcast passes through the driver: a load has some dozens
+DEFAULT_BROADCAST_BYTES = 4 << 10     # compressed: a thousandfold of it in memory is still the bound below
+DEFAULT_BROADCAST_MEMORY = 8 << 20    # bytes of the rows themselves
 MEASURED_BYTES = 64 << 20             # beyond this estimate no job is run to find out
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id keeps the row index in the low 33 bits
 
@@ -62,6 +62,13 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_b
     return F.broadcast(df) if broadcastable(df, max_rows, max_bytes, max_memory) else df
 
 
+def lookup_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``df`` as the side of a join that is looked up: broadcast when proven small, else hinted
+    to shuffle.  Spark's own choice goes by compressed sizes, so without the hint it would still
+    send tables through the driver that are many times as large there."""
+    return F.broadcast(df) if broadcastable(df, max_rows) else df.hint("merge")
+
+
 def dense_ids(df: DataFrame, order_by: list, id_col: str, start: int = 1) -> DataFrame:
     """Add a dense 1-based id in ``order_by`` order without a global window.
 
@@ -107,4 +114,4 @@ def keep_one(df: DataFrame, keys: list, order: list, last: bool = False) -> Data
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Column | str | list, how: str = "left",
                 max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Dimension lookup: broadcast hash join when the dimension is small enough."""
-    return fact.join(sized_broadcast(dim, max_rows), on, how)
+    return fact.join(lookup_side(dim, max_rows), on, how)

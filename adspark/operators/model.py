@@ -158,18 +158,27 @@ def build_clicks(resolved: DataFrame, missing_is_clicked: bool = False) -> DataF
         .select("click_id", "impression_id", "click_timestamp")
 
 
-def build_star(events: DataFrame, campaigns: DataFrame, users: DataFrame, unknown_id: int | None = 0) -> Star:
-    """Raw-cleaned inputs -> typed star + rejects, in the reference's dependency order."""
+def event_rejects(resolved: DataFrame) -> DataFrame:
+    """Events whose campaign name is unknown."""
+    return resolved.where(F.col("campaign_id").isNull()).select(
+        F.lit("ad_events").alias("table"), F.col("event_id").alias("key"), F.lit("unknown campaign").alias("reason"))
+
+
+def build_dimensions(events: DataFrame, campaigns: DataFrame, users: DataFrame, unknown_id: int | None = 0) -> dict[str, DataFrame]:
+    """The star's tables without facts, and the campaigns' ``rejects``."""
     countries = dim_countries(events, users)
     interests = dim_interests(events, users)
     advertisers = dim_advertisers(events, campaigns)
     star_users = build_users(users, countries, unknown_id)
     star_campaigns, camp_rejects = build_campaigns(campaigns, advertisers, interests, countries, unknown_id)
     bridge = build_users_interests(users, interests)
-    resolved = resolve_events(events, campaign_lookup(campaigns), countries, unknown_id=unknown_id)
-    impressions = build_impressions(resolved)
-    clicks = build_clicks(resolved)
-    event_rejects = resolved.where(F.col("campaign_id").isNull()).select(
-        F.lit("ad_events").alias("table"), F.col("event_id").alias("key"), F.lit("unknown campaign").alias("reason"))
-    return Star(countries, interests, star_users, advertisers, star_campaigns, bridge, impressions, clicks,
-                rejects=camp_rejects.unionByName(event_rejects))
+    return {"countries": countries, "interests": interests, "users": star_users, "advertisers": advertisers,
+            "campaigns": star_campaigns, "users_interests": bridge, "rejects": camp_rejects}
+
+
+def build_star(events: DataFrame, campaigns: DataFrame, users: DataFrame, unknown_id: int | None = 0) -> Star:
+    """Raw-cleaned inputs -> typed star + rejects, in the reference's dependency order."""
+    dims = build_dimensions(events, campaigns, users, unknown_id)
+    resolved = resolve_events(events, campaign_lookup(campaigns), dims["countries"], unknown_id=unknown_id)
+    rejects = dims.pop("rejects").unionByName(event_rejects(resolved))
+    return Star(**dims, ad_impressions=build_impressions(resolved), ad_clicks=build_clicks(resolved), rejects=rejects)

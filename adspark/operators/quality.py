@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adspark.operators.keys import sized_broadcast
+from adspark.operators.keys import lookup_side
 
 
 def _tag(df: DataFrame, rule: str) -> DataFrame:
@@ -66,7 +66,7 @@ def check_fk(child: DataFrame, fk: str, parent: DataFrame, pk: str, key: list[st
     """E5: child rows whose foreign key has no parent (NULL passes when nullable)."""
     c = child.where(F.col(fk).isNotNull()) if nullable else child
     parents = parent.select(F.col(pk).alias(fk))  # an anti join needs no distinct
-    return c.join(sized_broadcast(parents), fk, "left_anti") \
+    return c.join(lookup_side(parents), fk, "left_anti") \
         .select(*key, F.col(fk).cast("string").alias("value"), F.lit(f"fk:{fk}").alias("rule"))
 
 
@@ -102,5 +102,5 @@ def cascade_delete(parent_ids: DataFrame, chain: list[tuple[DataFrame, str, str]
 def set_null_delete(child: DataFrame, fk: str, deleted_ids: DataFrame) -> DataFrame:
     """ON DELETE SET NULL."""
     gone = deleted_ids.select(F.col(deleted_ids.columns[0]).alias("_gone")).distinct()
-    j = child.join(sized_broadcast(gone), F.col(fk) == F.col("_gone"), "left")
+    j = child.join(lookup_side(gone), F.col(fk) == F.col("_gone"), "left")
     return j.withColumn(fk, F.when(F.col("_gone").isNull(), F.col(fk))).drop("_gone")

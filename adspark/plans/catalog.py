@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 
 from adspark.operators import documents, quality, rollups
 from adspark.operators.clean import normalize_campaigns, normalize_events, normalize_users
-from adspark.operators.keys import keep_one, sized_broadcast
-from adspark.operators.model import build_star, campaign_lookup, resolve_events
+from adspark.operators.keys import keep_one, lookup_side
+from adspark.operators.model import build_clicks, build_dimensions, build_impressions, build_star, campaign_lookup, \
+    event_rejects, resolve_events
 from adspark.plans import reports
 from adspark.session import scratch_path
 from adspark.sources import versions
@@ -57,20 +58,20 @@ def enrich_events(events: DataFrame, campaigns: DataFrame, countries: DataFrame,
     ``attrs`` are the two campaign lookups if already built."""
     names = campaign_lookup(campaigns) if names is None else names
     attrs = campaign_attrs(campaigns) if attrs is None else attrs
-    resolved = resolve_events(events, names, countries, advertisers)
-    return resolved.join(sized_broadcast(attrs), "campaign_id", "left")
+    # the two lookups are joined first, so that events are looked up by name alone
+    both = names.join(lookup_side(attrs), "campaign_id", "left")
+    resolved = resolve_events(events, both, countries, advertisers)
+    return resolved.select("campaign_id", *[c for c in resolved.columns if c not in ("campaign_id", "campaign_interest", "campaign_location")],
+                           "campaign_interest", "campaign_location")
 
 
 def events_view(w: dict) -> DataFrame:
     """Clean events with campaign / advertiser / location ids and campaign attributes:
-    broadcast lookups over the published tables (no aggregate per use)."""
+    lookups over the published tables (no aggregate per use)."""
     return enrich_events(w["events_clean"], w["campaigns_clean"], w["countries"], w["advertisers"],
                          names=w["campaign_names"], attrs=w["campaign_attrs"])
 
 
-VIEWS = frozenset({"ad_events"})
-
-
 def build_all(raw: RawInputs) -> dict:
     """Every table of the load stage, in dependency order.  Later stages are callables
     over the tables already written, so each stage reads Parquet, not the lineage."""
@@ -86,23 +87,24 @@ def build_all(raw: RawInputs) -> dict:
     def loaded(df, name):
         return df if name in ("countries", "interests") else df.withColumn("created_at", F.lit(now).cast("timestamp_ntz"))
 
-    def star(w):
-        if "_star" not in w:
-            w["_star"] = build_star(w["events_clean"], w["campaigns_clean"], w["users_clean"])
-        return w["_star"]
+    def dimensions(w):
+        if "_dimensions" not in w:
+            w["_dimensions"] = build_dimensions(w["events_clean"], w["campaigns_clean"], w["users_clean"])
+        return w["_dimensions"]
 
-    for name in ["countries", "interests", "advertisers", "users", "campaigns", "users_interests",
-                 "ad_clicks"]:
-        t[name] = (lambda n: lambda w: loaded(getattr(star(w), n), n))(name)
-    t["rejects"] = lambda w: star(w).rejects
-    # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
-    # the impression fact is stored once, with its click: ad_impressions is a view of it
-    t["impression_clicks"] = lambda w: loaded(reports.join_clicks(star(w).ad_impressions, w["ad_clicks"]), "ad_impressions")
-    # the two small campaign lookups of the events view, built once
+    for name in ["countries", "interests", "advertisers", "users", "campaigns", "users_interests"]:
+        t[name] = (lambda n: lambda w: loaded(dimensions(w)[n], n))(name)
+    # the two small campaign lookups of the resolved events, built once
     t["campaign_names"] = lambda w: campaign_lookup(w["campaigns_clean"])
     t["campaign_attrs"] = lambda w: campaign_attrs(w["campaigns_clean"])
-    # resolved events: a view (broadcast lookups over events_clean), not a third copy of the events
+    # resolved events, stored: facts, sessions, rollups and history read them and look nothing up again
     t["ad_events"] = lambda w: events_view(w)
+    t["ad_clicks"] = lambda w: loaded(build_clicks(w["ad_events"]), "ad_clicks")
+    t["rejects"] = lambda w: dimensions(w)["rejects"].unionByName(event_rejects(w["ad_events"]))
+    # impressions LEFT JOIN clicks, once: every click report scans this instead of joining
+    # the impression fact is stored once, with its click: ad_impressions is a view of it
+    t["impression_clicks"] = lambda w: loaded(reports.join_clicks(build_impressions(w["ad_events"]), w["ad_clicks"]),
+                                                 "ad_impressions")
     t["ad_sessions"] = lambda w: documents.build_sessions(w["ad_events"])
     t["user_interaction"] = lambda w: documents.build_user_documents(w["users_clean"])
     # the five day / region rollups from one scan and one shuffle (grouping sets)
@@ -131,8 +133,7 @@ IMPRESSION_COLUMNS = ["impression_id", "campaign_id", "user_id", "device", "loca
 def publish_warehouse(spark: SparkSession, raw: RawInputs, root: str, inputs: str | None = None) -> dict[str, DataFrame]:
     """Load ``raw`` (e.g. ``sources.csv.read_inputs`` over the three CSV files) into a
     new published version under ``root`` and open it."""
-    publish_tables(spark, build_all(raw), root, checks=KEY_CHECKS, layouts=LAYOUTS, count_rows=False, views=VIEWS,
-                   inputs=inputs)
+    publish_tables(spark, build_all(raw), root, checks=KEY_CHECKS, layouts=LAYOUTS, count_rows=False, inputs=inputs)
     return open_warehouse(spark, root)
 
 
@@ -150,7 +151,6 @@ def open_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     its key checks passed, so the verified keys come with it."""
     tables = read_published(spark, root)
     tables["ad_impressions"] = tables["impression_clicks"].select(*IMPRESSION_COLUMNS)
-    tables["ad_events"] = events_view(tables)
     tables.update(rollups.split_rollups(tables["rollups"]))  # campaign_day, user_day, ... (pruned views)
     tables[VERIFIED_KEYS] = set(KEY_CHECKS)
     return tables

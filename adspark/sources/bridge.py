@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspark.operators.keys import sized_broadcast
+from adspark.operators.keys import lookup_side
 
 
 @dataclass
@@ -105,8 +105,9 @@ def raw_ad_events(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Data
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     users = cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left") \
         .select(F.col("c_custkey"), F.col("n_name"))
-    df = (ev.join(sized_broadcast(camp), "k", "left")
-            .join(sized_broadcast(users), ev.user_id == users.c_custkey, "left"))
+    # users first: the campaigns' columns widen the rows
+    df = (ev.join(lookup_side(users), ev.user_id == users.c_custkey, "left")
+            .join(lookup_side(camp), "k", "left"))
     cost = "CAST(value AS STRING)"
     ts = "CAST(ts AS STRING)"
     if dirty:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adspark.operators.keys import keep_one, sized_broadcast
+from adspark.operators.keys import keep_one, lookup_side
 from adspark.session import materialize
 from adspark.sources import keyed, versions
 
@@ -37,7 +37,7 @@ def campaign_day_stream(events: DataFrame, campaign_of: DataFrame, watermark: st
     counters; ``campaign_of`` maps campaign_name -> campaign_id (``model.campaign_lookup``)."""
     ev = events.withColumn("event_time", as_instant("ts")).withWatermark("event_time", watermark)
     ev = ev.dropDuplicatesWithinWatermark(["event_id"])
-    ev = ev.join(sized_broadcast(campaign_of), "campaign_name")  # static lookup, one row per name
+    ev = ev.join(lookup_side(campaign_of), "campaign_name")  # static lookup, one row per name
     agg = ev.groupBy(F.window("event_time", "1 day").alias("w"), "campaign_id").agg(
         F.count("clicked").alias("impressions"),
         F.coalesce(F.sum(F.col("clicked").cast("int")), F.lit(0)).cast("bigint").alias("clicks"))
@@ -114,7 +114,7 @@ def run_counted(spark: SparkSession, source: DataFrame, campaign_of: DataFrame,
             ids = spark.read.schema("event_id string, day int").parquet(*[versions.join(state_root, p) for p in known])
             fresh = fresh.join(ids.where(F.col("day") >= F.lit((mark or 0) // 86_400)).select("event_id"), "event_id", "left_anti")
         fresh = materialize(fresh)
-        counts = (fresh.join(sized_broadcast(lookup), "campaign_name")
+        counts = (fresh.join(lookup_side(lookup), "campaign_name")
                   .groupBy("campaign_id", F.to_date("ts").alias("date"))
                   .agg(F.count("clicked").alias("impressions"),
                        F.coalesce(F.sum(F.col("clicked").cast("int")), F.lit(0)).cast("bigint").alias("clicks")))
